@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import as_col
@@ -80,9 +80,9 @@ def decision(status: str | Column, rule: str) -> Column:
     return decisions[rule]
 
 
-def running_total(counts: DataFrame, order: str, count: str, alias: str) -> DataFrame:
-    """Add the total of this and all smaller ``order`` values, for one row per extract.
-
-    The extracts are few and named by the caller, which bounds the unpartitioned window.
-    """
-    return counts.withColumn(alias, F.sum(count).over(Window.orderBy(order)))
+def processed_total(counts: DataFrame, count: str) -> DataFrame:
+    """One row: records processed over all extracts, and how many extracts had any."""
+    return counts.agg(
+        F.coalesce(F.sum(count), F.lit(0)).cast("bigint").alias("processed_records"),
+        F.count_if(F.col(count) > 0).alias("n_extracts"),
+    )

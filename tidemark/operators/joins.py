@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import explode_days
 from tidemark.functions.keys import all_true
+from tidemark.operators.relations import inline_rows
 from tidemark.operators.skew import SALT, hot_keys, mark_hot, repeat_per_salt, salt_rows
 
 
@@ -51,7 +52,7 @@ def aggregate_lookup(left: DataFrame, right: DataFrame, key: str, right_key: str
 
 def constant_lookup(df: DataFrame, constants: Sequence[tuple], schema: str, on: tuple[str, str]) -> DataFrame:
     """Inner join to a relation written in the code; rows without a match are skipped."""
-    values = df.sparkSession.createDataFrame(list(constants), schema)
+    values = inline_rows(df.sparkSession, constants, schema)
     return df.join(F.broadcast(values), df[on[0]] == values[on[1]], "inner").drop(values[on[1]])
 
 

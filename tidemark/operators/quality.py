@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tidemark.operators.aggregates import has_repeats
 from tidemark.operators.history import instant
 from tidemark.operators.joins import lookup_join
+from tidemark.operators.relations import inline_rows
 
 
 def null_in(column: str) -> Column:
@@ -99,7 +100,7 @@ def schema_contract(df: DataFrame, expected: T.StructType) -> DataFrame:
         for name in sorted(want.keys() | have.keys())
         if want.get(name) != have.get(name)
     ]
-    return df.sparkSession.createDataFrame(diff, "column_name string, expected_type string, actual_type string")
+    return inline_rows(df.sparkSession, diff, "column_name string, expected_type string, actual_type string")
 
 
 @dataclass(frozen=True)

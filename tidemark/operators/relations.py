@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -26,7 +28,7 @@ def combine_extracts(
     """Union of the extracts that worked, and the names of those that failed (None)."""
     good = {name: df for name, df in extracts.items() if df is not None}
     failed = [(name,) for name, df in extracts.items() if df is None]
-    return (union_tagged(good, tag) if good else None), spark.createDataFrame(failed, f"{tag} string")
+    return (union_tagged(good, tag) if good else None), inline_rows(spark, failed, f"{tag} string")
 
 
 def columns_to_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
@@ -40,7 +42,12 @@ def union_keys(known: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """A VALUES relation: part of the plan, so its size is known when joins are chosen."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    names = T.StructType.fromDDL(schema).names
+    table = pa.table({name: pa.array(column) for name, column in zip(names, zip(*rows))})
+    return spark.createDataFrame(table, schema)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -55,4 +62,4 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def describe_columns(df: DataFrame) -> DataFrame:
     """Column name, type and position of a relation."""
     rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "column_name string, column_type string, position int")
+    return inline_rows(df.sparkSession, rows, "column_name string, column_type string, position int")

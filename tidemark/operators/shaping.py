@@ -101,12 +101,14 @@ def stride_records(df: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
     over at the end form no record.
     """
     stride = len(names)
+    kept = [c for c in df.columns if c != text]
     trimmed = F.regexp_replace(text, r"^[ \t\r\n\f]+|[ \t\r\n\f]+$", "")
-    lines = F.split(trimmed, r"\r\n|\r|\n")
+    # A column of its own, or the lambda below would split the text once per record.
+    split = df.select(*kept, F.split(trimmed, r"\r\n|\r|\n").alias("_lines"))
+    lines = F.col("_lines")
     starts = F.when(F.size(lines) >= stride, F.sequence(F.lit(0), F.size(lines) - stride, F.lit(stride)))
     records = F.transform(starts, lambda i: F.struct(*[F.get(lines, i + k).alias(n) for k, n in enumerate(names)]))
-    kept = [c for c in df.columns if c != text]
-    rows = df.select(*kept, F.posexplode(records).alias("_no", "_record"))
+    rows = split.select(*kept, F.posexplode(records).alias("_no", "_record"))
     return rows.select(*kept, F.col("_no").cast("bigint").alias("record_no"), "_record.*")
 
 
