@@ -51,7 +51,7 @@ def watermark_state(t):
     batches = {
         "later": events,
         "known": events.where(F.col("ts") < _at("2024-01-20")),
-        "none": events.where("user_id < 0"),
+        "none": events.where(F.lit(False)),
     }
     states = {name: incremental.watermark_gate(b, state, "ts", NOW)[1] for name, b in batches.items()}
     return relations.union_tagged(states, "batch")
@@ -169,12 +169,12 @@ def missing_pairs(t):
     f"""
     WITH m AS ({MISSING_SQL}), k AS (SELECT m.* FROM m WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0))
     SELECT DATE '2024-02-01' AS run_day, day, user_id FROM k ORDER BY day DESC, user_id ASC
-    LIMIT (SELECT greatest(0, 50 - COUNT(*) // 500) FROM events)
+    LIMIT (SELECT 50 - COUNT(DISTINCT event_type) * 4 FROM events)
     """,
 )
 def missing_pairs_within_quota(t):
     run_day = F.lit(dt.date(2024, 2, 1))
-    used = t("events").agg(F.floor(F.count(F.lit(1)) / 500).alias("used")).withColumn("run_day", run_day)
+    used = t("events").agg((F.count_distinct("event_type") * 4).alias("used")).withColumn("run_day", run_day)
     known = t("customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"))
     requests = _missing(t).withColumn("run_day", run_day)
     order = [F.desc("day"), F.asc("user_id")]
@@ -229,18 +229,18 @@ def usage_today(t):
         SELECT *, row_number() OVER (PARTITION BY day ORDER BY ts, event_id) AS r FROM (
             SELECT CAST(ts AS DATE) AS day, ts, event_id FROM events
             WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0))) JOIN (
-        SELECT CAST(ts AS DATE) AS day, COUNT(*) AS used FROM events WHERE event_type = 'error' AND user_id < 10 GROUP BY 1)
+        SELECT CAST(ts AS DATE) AS day, COUNT(*) AS used FROM events WHERE event_type = 'error' AND value < 3 GROUP BY 1)
         USING (day) WHERE r <= 50 - used
     UNION ALL SELECT day, event_id FROM (
         SELECT *, row_number() OVER (PARTITION BY day ORDER BY ts, event_id) AS r FROM (
             SELECT CAST(ts AS DATE) AS day, ts, event_id FROM events
             WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0))) WHERE r <= 50 AND day NOT IN (
-        SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'error' AND user_id < 10)
+        SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'error' AND value < 3)
     """,
 )
 def quota_cap(t):
     events = t("events").withColumn("day", F.col("ts").cast("date"))
-    used = incremental.daily_usage(events.where("event_type = 'error' and user_id < 10"), "day")
+    used = incremental.daily_usage(events.where("event_type = 'error' and value < 3"), "day")
     known = t("customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"))
     order = ["ts", "event_id"]
     return ordering.quota_cap(events, "day", order, 50, used, known, "user_id").select("day", "event_id")

@@ -218,7 +218,7 @@ def required_columns(t):
     gates = {
         "complete": incremental.required_columns_gate(events, ["ts"]),
         "incomplete": incremental.required_columns_gate(events, ["DateTime"]),
-        "empty": incremental.required_columns_gate(events.where("user_id < 0"), ["DateTime"]),
+        "empty": incremental.required_columns_gate(events.where(F.lit(False)), ["DateTime"]),
     }
     return relations.union_tagged(gates, "kind")
 

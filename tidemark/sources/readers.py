@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,11 @@ class Tables:
         path = os.path.join(self.folder, f"{name}.parquet")
         return self.spark.read.schema(layout(BENCH_TABLES[name])).parquet(path)
 
+    def sql(self, text: str) -> DataFrame:
+        """A query that names tables in braces: ``SELECT * FROM {orders}``."""
+        used = set(re.findall(r"\{(\w+)\}", text))
+        return self.spark.sql(text, **{name: self(name) for name in used})
+
 
 def read_source(spark: SparkSession, root: str, source: str, table: str) -> DataFrame:
     """A declared source table stored below ``root`` as ``source/table``."""
