@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import explode_days
 from tidemark.functions.keys import all_true
 from tidemark.operators.relations import inline_rows
-from tidemark.operators.skew import SALT, hot_keys, mark_hot, repeat_per_salt, salt_rows
+from tidemark.operators.skew import SALT, hot_keys, mark_hot, repeat_per_salt, salt_rows, will_broadcast
 
 
 def lookup_join(
@@ -19,23 +19,29 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[tuple[str, str]],
     how: str = "left",
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join from many rows to a lookup, with hot row keys spread over salts.
 
     ``on`` pairs a column of ``rows`` with one of ``lookup``. The lookup's key columns
     are dropped and its other names must differ from those of ``rows``. NULL keys
     match nothing, yet are spread like any other hot key. Several lookup rows per
-    key multiply the result. A lookup small enough to broadcast is left to the
-    optimizer's size check.
+    key multiply the result.
+
+    A lookup that the optimizer broadcasts needs no shuffle of the rows and is joined
+    directly. Else hot keys are counted first, on ``keys_from`` if ``rows`` is costly
+    and some earlier table has the same keys.
     """
     row_keys, lookup_keys = [a for a, _ in on], [b for _, b in on]
-    hot = hot_keys(rows, row_keys)
-    hot_lookup = hot.select(*[F.col(a).alias(b) for a, b in on], "_salts")
     names = {b: f"_lookup_{i}" for i, b in enumerate(lookup_keys)}
+    same = all_true([F.col(a) == F.col(names[b]) for a, b in on])
+    hot = None if will_broadcast(lookup) else hot_keys(rows if keys_from is None else keys_from, row_keys)
+    if hot is None:
+        return rows.join(lookup.withColumnsRenamed(names), same, how).drop(*names.values())
+    hot_lookup = hot.select(*[F.col(a).alias(b) for a, b in on], "_salts")
     left = salt_rows(rows, hot, row_keys)
     right = repeat_per_salt(lookup, hot_lookup, lookup_keys).withColumnsRenamed({**names, SALT: "_salt_r"})
-    same = all_true([F.col(a) == F.col(names[b]) for a, b in on]) & (F.col(SALT) == F.col("_salt_r"))
-    return left.join(right, same, how).drop(SALT, "_salt_r", *names.values())
+    return left.join(right, same & (F.col(SALT) == F.col("_salt_r")), how).drop(SALT, "_salt_r", *names.values())
 
 
 def join_child(child: DataFrame, root: DataFrame, root_key: str, natural_key: str, to: str) -> DataFrame:
@@ -74,39 +80,43 @@ def star_fanout(spine: DataFrame, key: str, children: Mapping[str, tuple[DataFra
     """All combinations of each spine key's child values.
 
     ``children`` maps an output column to (child, key column, value column). A spine
-    key without rows in a child gets NULL there; spine keys must be unique.
+    key without rows in a child gets NULL there. Spine keys are unique and not NULL.
 
-    Each child is completed with a NULL row for the keys it lacks, so that the
-    joins are inner joins on one partitioning. A key whose combinations exceed an
-    average partition is split along its largest child, the others are repeated.
+    All joins share one partitioning, so the spine is shuffled once. A key whose
+    combinations exceed an average partition is split along its largest child: that
+    child's rows are spread over salts, the other rows repeated for each.
     """
     names = list(children)
-    base = spine.select(F.col(key).alias("_key"))
     sides = [
-        df.select(F.col(child_key).alias("_key"), F.col(value).alias(name))
+        df.select(F.col(child_key).alias("_key"), F.col(value).alias(name), F.lit(True).alias("_has"))
         for name, (df, child_key, value) in children.items()
     ]
-    counted = base
-    for i, side in enumerate(sides):
-        counts = side.groupBy("_key").agg(F.count(F.lit(1)).alias(f"_n{i}"))
-        counted = counted.join(counts, "_key", "left")
-    sizes = [F.coalesce(F.col(f"_n{i}"), F.lit(1)) for i in range(len(sides))]
+    keyed = reduce(DataFrame.union, [s.select("_key", F.lit(i).alias("_side")) for i, s in enumerate(sides)])
+    sizes = [F.greatest(F.col(f"_n{i}"), F.lit(1)) for i in range(len(sides))]
+    counted = keyed.groupBy("_key").agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(sides))])
     combinations = reduce(lambda a, b: a * b, [s.cast("double") for s in sizes])
-    widest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
-    split_at = F.coalesce(*[F.when(s == widest, F.lit(i)) for i, s in enumerate(sizes)])
+    widest = F.greatest(*sizes, F.lit(1))
+    split_at = F.coalesce(*[F.when(F.col(f"_n{i}") == widest, F.lit(i)) for i in range(len(sides))])
     hot = hot_keys(counted, ["_key"], F.max(split_at).alias("_split"), weight=combinations)
 
-    result = None
+    result = spine.select(F.col(key).alias("_key"))
+    if hot is None:
+        for name, side in zip(names, sides):
+            result = result.join(side.drop("_has"), "_key", "left")
+        return result.select(F.col("_key").alias(key), *names)
+
+    all_salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    own_salt = F.array(F.pmod(F.spark_partition_id(), F.col("_salts")))
+    result = mark_hot(result, hot, ["_key"]).withColumn(SALT, F.explode(all_salts)).drop("_salts")
     for i, (name, side) in enumerate(zip(names, sides)):
-        empty = counted.where(F.col(f"_n{i}").isNull()).select("_key", F.lit(None).cast(side.schema[name].dataType).alias(name))
-        marked = mark_hot(side.unionByName(empty), hot, ["_key"])
-        all_salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-        own_salt = F.array(F.pmod(F.spark_partition_id(), F.col("_salts")))
         salts = F.when(F.col("_split") == i, own_salt).otherwise(all_salts)
-        salted = marked.withColumn(SALT, F.explode(salts)).drop("_salts", "_split")
-        result = salted if result is None else result.join(salted, ["_key", SALT], "inner")
-    spine_keys = repeat_per_salt(base, hot.drop("_split"), ["_key"])
-    return spine_keys.join(result, ["_key", SALT], "inner").select(F.col("_key").alias(key), *names)
+        salted = mark_hot(side, hot, ["_key"]).withColumn(SALT, F.explode(salts)).drop("_salts", "_split")
+        # The split child has rows for its hot keys, so a salt without any adds no row.
+        empty_salt = (F.col("_split") == i) & F.col("_has").isNull()
+        result = (
+            result.join(salted, ["_key", SALT], "left").where(~F.coalesce(empty_salt, F.lit(False))).drop("_has")
+        )
+    return result.select(F.col("_key").alias(key), *names)
 
 
 def hierarchy(df: DataFrame, group: str, value: str, depth: int = 7, carry: Sequence[str] = ()) -> DataFrame:
@@ -117,27 +127,30 @@ def hierarchy(df: DataFrame, group: str, value: str, depth: int = 7, carry: Sequ
     of k values gives k!/(k-depth)! rows, or k! when k is not above the depth.
     ``carry`` names columns to take along from the row of the first value.
 
-    Heavy groups are split by their first value; each salt sees all the group's
-    values, so all levels join on one partitioning.
+    All levels join on one partitioning. Groups with more orderings than an average
+    partition are split by their first value, each part seeing all the group's values.
     """
-    starts = df.select(F.col(group).alias("_group"), F.col(value).alias("_value"), *carry).distinct()
-    values = starts.select("_group", "_value").distinct() if carry else starts
-    sizes = values.groupBy("_group").agg(F.count("_value").alias("_k"))
+    starts = df.select(F.col(group).alias("_group"), F.col(value).alias(value), *carry).distinct()
+    values = starts.select("_group", F.col(value).alias("_value")).where("_group is not null and _value is not null")
+    pool = values.distinct() if carry else values
+    sizes = pool.groupBy("_group").agg(F.count(F.lit(1)).alias("_k"))
     orderings = reduce(
         lambda a, b: a * b, [F.greatest(F.col("_k") - i, F.lit(1)).cast("double") for i in range(depth)]
     )
-    hot = hot_keys(sizes.where("_group is not null"), ["_group"], weight=orderings)
-    salt = F.coalesce(F.pmod(F.xxhash64("_value"), F.col("_salts")).cast("int"), F.lit(0))
-    out = mark_hot(starts, hot, ["_group"]).withColumn(SALT, salt).drop("_salts").withColumnRenamed("_value", value)
-    pool = repeat_per_salt(values.where("_value is not null"), hot, ["_group"])
+    hot = hot_keys(sizes, ["_group"], weight=orderings)
+    out, salted = starts, hot is not None
+    if salted:
+        salt = F.coalesce(F.pmod(F.xxhash64(value), F.col("_salts")).cast("int"), F.lit(0))
+        out = mark_hot(starts, hot, ["_group"]).withColumn(SALT, salt).drop("_salts")
+        pool = repeat_per_salt(pool, hot, ["_group"])
     taken = [value]
     for level in range(2, depth + 1):
         name = f"{value}{level}"
-        step = pool.select(
-            F.col("_group").alias("_group_r"), F.col(SALT).alias("_salt_r"), F.col("_value").alias(name)
-        )
+        step = pool.withColumnsRenamed({"_group": "_group_r", SALT: "_salt_r", "_value": name})
+        same = F.col("_group") == F.col("_group_r")
+        if salted:
+            same = same & (F.col(SALT) == F.col("_salt_r"))
         unused = all_true([F.col(name) != F.col(t) for t in taken])  # NULL once a level is NULL
-        same = (F.col("_group") == F.col("_group_r")) & (F.col(SALT) == F.col("_salt_r"))
         out = out.join(step, same & unused, "left").drop("_group_r", "_salt_r")
         taken.append(name)
     return out.select(F.col("_group").alias(group), *carry, *taken)

@@ -2,8 +2,9 @@
 
 A key is hot when it holds more rows than an average shuffle partition. With P
 shuffle partitions fewer than P keys can be hot, so a hot-key table has a size
-bound that does not depend on the data and may be broadcast. It is found with
-one column-pruned, map-side combined count.
+bound that does not depend on the data. It is measured by one column-pruned,
+map-side combined count before the plan is built, so that the plan for data
+without hot keys is the plain one.
 
 Joins spread the rows of a hot key over salts. Ordered windows cut a hot key
 into slices of the ordering column and give each slice the few rows before it.
@@ -27,29 +28,42 @@ SLICE = "_slice"
 HALO = "_halo"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], *stats: Column, weight: Column | None = None) -> DataFrame:
-    """Keys heavier than an average shuffle partition: fewer than P rows.
+def will_broadcast(df: DataFrame) -> bool:
+    """True when the optimizer's size estimate lets it broadcast ``df`` by itself."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= limit
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], *stats: Column, weight: Column | None = None
+) -> DataFrame | None:
+    """Keys heavier than an average shuffle partition, or None when there are none.
 
     ``weight`` is summed instead of counting rows. Columns: the keys, ``_salts``
-    (the number of average partitions the key would fill) and ``stats``.
+    (the number of average partitions the key would fill) and ``stats``. Fewer than P
+    rows come back, which become part of the plan.
     """
-    parts = shuffle_partitions(df.sparkSession)
+    spark = df.sparkSession
+    parts = shuffle_partitions(spark)
     measure = (F.count(F.lit(1)) if weight is None else F.sum(weight)).cast("double")
     total = df.agg(measure).scalar()
-    return (
+    hot = (
         df.groupBy(*keys)
         .agg(measure.alias("_weight"), *stats)
         .where(F.col("_weight") * parts > total)
         .withColumn("_salts", F.ceil(F.col("_weight") * parts / total).cast("int"))
         .drop("_weight")
     )
+    found = hot.toArrow()  # fewer than P rows
+    return spark.createDataFrame(found, hot.schema) if found.num_rows else None
 
 
 def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` with the other columns of ``hot``; NULL where the key is not hot."""
     named = [F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]
     rest = [c for c in hot.columns if c not in keys]
-    right = F.broadcast(hot.select(*named, *rest))  # at most P rows, see hot_keys
+    right = F.broadcast(hot.select(*named, *rest))  # fewer than P rows, see hot_keys
     same = all_true([F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)])
     return df.join(right, same, "left").drop(*[f"_hot_{i}" for i in range(len(keys))])
 
@@ -85,24 +99,20 @@ def order_position(df: DataFrame, column: str) -> Column:
 
 def slice_hot_keys(
     df: DataFrame, keys: Sequence[str], order: str, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
-    """Add ``_slice``: 0 for ordinary keys, else a rising range number on ``order``.
+) -> DataFrame | None:
+    """Add ``_slice``, a rising range number on ``order`` for hot keys and NULL for others.
 
-    Slice widths come from count, minimum and maximum, which are exact and
-    repeatable, so every branch of a plan agrees on them.
+    None when no key is hot. Slice widths come from the key's count, minimum and maximum.
     """
     position = order_position(df, order)
     n, lo, hi = F.count(F.lit(1)), F.min(position), F.max(position)
     slices = F.least(F.lit(MAX_SLICES), F.ceil(n / F.lit(rows_per_slice)))
     width = F.greatest(F.lit(1), F.ceil((hi - lo + 1) / slices)).cast("bigint")
-    hot = hot_keys(df, keys, lo.alias("_lo"), width.alias("_width")).drop("_salts")
+    hot = hot_keys(df, keys, lo.alias("_lo"), width.alias("_width"))
+    if hot is None:
+        return None
     number = F.floor((position - F.col("_lo")) / F.col("_width")).cast("bigint")
-    return (
-        mark_hot(df, hot, keys)
-        .withColumn(SLICE, F.coalesce(number, F.lit(0).cast("bigint")))
-        .withColumn("_hot", F.col("_width").isNotNull())
-        .drop("_lo", "_width")
-    )
+    return mark_hot(df, hot.drop("_salts"), keys).withColumn(SLICE, number).drop("_lo", "_width")
 
 
 def with_halo(
@@ -112,22 +122,25 @@ def with_halo(
     values: Sequence[str],
     halo: int,
     rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+) -> DataFrame | None:
     """Slice hot keys and prepend to each slice the ``halo`` rows before it.
 
     A window over keys and ``_slice`` that looks back at most ``halo`` rows then
     gives the result of the window over the keys alone. Halo rows carry
-    ``_halo = true`` and only the ``values``; drop them afterwards.
+    ``_halo = true`` and only the ``values``; drop them afterwards. None when no key
+    is hot.
 
     The rows that may precede a later slice are the last ``halo`` of each slice.
     Those are cut down before their shuffle, and there are at most
     ``MAX_SLICES * halo`` of them per key.
     """
     rows = slice_hot_keys(df, keys, order[0], rows_per_slice)
+    if rows is None:
+        return None
     newest_first = Window.partitionBy(*keys, SLICE).orderBy(*[F.col(c).desc() for c in order])
     carried = list(dict.fromkeys([*order, *values]))
     tails = (
-        rows.where("_hot")
+        rows.where(F.col(SLICE).isNotNull())
         .select(*keys, SLICE, *[c for c in carried if c not in keys])
         .withColumn("_rank", F.row_number().over(newest_first))
         .where(F.col("_rank") <= halo)
@@ -142,4 +155,4 @@ def with_halo(
         .select(*keys, SLICE, *[F.col(f"_row.{c}").alias(c) for c in carried if c not in keys])
         .withColumn(HALO, F.lit(True))
     )
-    return rows.drop("_hot").withColumn(HALO, F.lit(False)).unionByName(halo_rows, allowMissingColumns=True)
+    return rows.withColumn(HALO, F.lit(False)).unionByName(halo_rows, allowMissingColumns=True)

@@ -6,10 +6,11 @@ from windows over slices, so that no task has to hold all rows of a hot key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tidemark.functions.numbers import round_ieee
 from tidemark.operators.joins import lookup_join
@@ -65,7 +66,7 @@ def over_previous(
     order: Sequence[str],
     values: Sequence[str],
     preceding: int,
-    exprs: Mapping[str, "callable"],
+    exprs: Mapping[str, Callable[[WindowSpec], Column]],
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Add expressions that look back at most ``preceding`` rows in key order.
@@ -74,6 +75,9 @@ def over_previous(
     reads only ``values``. ``order`` must be unique within the keys.
     """
     rows = with_halo(df, keys, order, values, preceding, rows_per_slice)
+    if rows is None:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({name: make(window) for name, make in exprs.items()})
     window = Window.partitionBy(*keys, SLICE).orderBy(*order)
     built = {name: make(window) for name, make in exprs.items()}
     return rows.withColumns(built).where(~F.col(HALO)).drop(HALO, SLICE)

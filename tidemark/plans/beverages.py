@@ -110,7 +110,8 @@ def staging_beverage_consumption(base: DataFrame, glass_history: DataFrame, look
         "alcoholic_type_sk",
         "alcoholic_type",
     )
-    joined = lookup_join(lookup_join(base, glasses, [("id_drink", "glass_id")]), kinds, [("id_drink", "lookup_id")])
+    with_glass = lookup_join(base, glasses, [("id_drink", "glass_id")])
+    joined = lookup_join(with_glass, kinds, [("id_drink", "lookup_id")], keys_from=base)
     return joined.select(
         F.col("id_drink").alias("beverage_id"),
         F.col("str_drink").alias("beverage_name"),

@@ -61,10 +61,21 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
     parser.add_argument("--data", default="/root/testdata")
+    parser.add_argument("--shuffle-joins", action="store_true", help="never broadcast by size, and split the input")
     parser.add_argument("parts", nargs="*")
     args = parser.parse_args()
     folder = os.path.join(args.data, f"sf{args.sf}")
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"}
+    if args.shuffle_joins:
+        # Keys above a sixty-fourth of the rows count as hot, and scans give many partitions.
+        conf |= {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "64",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.files.maxPartitionBytes": "64k",
+            "spark.sql.files.openCostInBytes": "0",
+        }
+    spark = build_session(master="local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(folder), []
     for name, q in catalog.load().items():
