@@ -93,7 +93,7 @@ def casts(t):
         "event_id",
         F.col("value").cast("decimal(18,3)").alias("price"),
         F.col("ts").cast("date").alias("day"),
-        F.col("event_type").try_cast("int").alias("as_number"),
+        text.to_integer("event_type").alias("as_number"),
         F.col("user_id").cast("int").alias("user_no"),
     )
 

@@ -116,6 +116,6 @@ def series_report(t):
         "change": windows.lag_difference("value"),
     }
     rows = windows.over_previous(_events(t), ["user_id"], ORDER, ["value"], 13, exprs)
-    keyed = rows.withColumn("series_sk", surrogate_key("user_id", "event_type"))
-    report = keyed.select("series_sk", "user_id", "ts", "event_id", "value", *exprs)
-    return ordering.top_n(report, 50, F.desc("ts"), F.desc("event_id"))
+    newest = ordering.top_n(rows, 50, F.desc("ts"), F.desc("event_id"))
+    key = surrogate_key("user_id", "event_type").alias("series_sk")
+    return newest.select(key, "user_id", "ts", "event_id", "value", *exprs)

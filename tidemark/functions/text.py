@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import any_true, as_col
+from tidemark.functions.keys import any_true, as_col, last_segment
 
 
 def first_match(rules: Sequence[tuple[str, Column]], default: str) -> Column:
@@ -37,9 +37,20 @@ def classify_members(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]]
     return first_match([(label, text.isin(*words)) for label, words in rules], default)
 
 
+def to_integer(c: Column | str, to: str = "int") -> Column:
+    """Whole number in a text, else NULL.
+
+    The pattern comes first because a failed cast costs an exception per row.
+    """
+    text = as_col(c)
+    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.try_cast(to))
+
+
 def numeric_tail(c: Column | str, to: str = "int") -> Column:
-    """Number after the last slash; NULL when there is none."""
-    return F.regexp_replace(as_col(c), r".*/(\d+)$", "$1").try_cast(to)
+    """Number after the last slash, or the whole text if that is a number; else NULL."""
+    text = as_col(c)
+    tail = last_segment(text)
+    return F.when(tail.rlike(r"^\d+$"), tail.try_cast(to)).otherwise(to_integer(text, to))
 
 
 def code_part(c: Column | str, start: int, length: int) -> Column:

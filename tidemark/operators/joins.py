@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import explode_days
 from tidemark.functions.keys import all_true
 from tidemark.operators.relations import inline_rows
-from tidemark.operators.skew import SALT, hot_keys, mark_hot, repeat_per_salt, salt_rows, will_broadcast
+from tidemark.operators.sizing import fits_broadcast, one_task_reads
+from tidemark.operators.skew import SALT, hot_keys, mark_hot, repeat_per_salt, salt_rows
 
 
 def lookup_join(
@@ -28,14 +29,20 @@ def lookup_join(
     match nothing, yet are spread like any other hot key. Several lookup rows per
     key multiply the result.
 
-    A lookup that the optimizer broadcasts needs no shuffle of the rows and is joined
-    directly. Else hot keys are counted first, on ``keys_from`` if ``rows`` is costly
-    and some earlier table has the same keys.
+    Rows that one task could read are joined as they are. Else a lookup whose size is
+    within the broadcast limit is broadcast, so the rows are not shuffled. Failing that,
+    hot keys are counted first, on ``keys_from`` if ``rows`` is costly and some earlier
+    table has the same keys.
     """
     row_keys, lookup_keys = [a for a, _ in on], [b for _, b in on]
     names = {b: f"_lookup_{i}" for i, b in enumerate(lookup_keys)}
     same = all_true([F.col(a) == F.col(names[b]) for a, b in on])
-    hot = None if will_broadcast(lookup) else hot_keys(rows if keys_from is None else keys_from, row_keys)
+    measured, hot = rows if keys_from is None else keys_from, None
+    if not one_task_reads(rows):
+        if fits_broadcast(lookup, rows):
+            small = F.broadcast(lookup.withColumnsRenamed(names))
+            return rows.join(small, same, how).drop(*names.values())
+        hot = hot_keys(measured, row_keys)
     if hot is None:
         return rows.join(lookup.withColumnsRenamed(names), same, how).drop(*names.values())
     hot_lookup = hot.select(*[F.col(a).alias(b) for a, b in on], "_salts")

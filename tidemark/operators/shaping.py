@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import child_row_id, last_segment
+from tidemark.functions.text import to_integer
 
 NESTING = "__"
 
@@ -102,9 +103,10 @@ def stride_records(df: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
     """
     stride = len(names)
     kept = [c for c in df.columns if c != text]
-    trimmed = F.regexp_replace(text, r"^[ \t\r\n\f]+|[ \t\r\n\f]+$", "")
+    trimmed = F.btrim(text, F.lit(" \t\r\n\f"))
+    one_break = F.replace(F.replace(trimmed, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     # A column of its own, or the lambda below would split the text once per record.
-    split = df.select(*kept, F.split(trimmed, r"\r\n|\r|\n").alias("_lines"))
+    split = df.select(*kept, F.split(one_break, "\n").alias("_lines"))
     lines = F.col("_lines")
     starts = F.when(F.size(lines) >= stride, F.sequence(F.lit(0), F.size(lines) - stride, F.lit(stride)))
     records = F.transform(starts, lambda i: F.struct(*[F.get(lines, i + k).alias(n) for k, n in enumerate(names)]))
@@ -115,7 +117,7 @@ def stride_records(df: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
 def element_set_records(df: DataFrame, text: str) -> DataFrame:
     """Three-line element sets: name, two data lines and the catalogue number in the first of them."""
     rows = stride_records(df, text, ["satellite_name", "tle_line1", "tle_line2"])
-    number = F.trim(F.substring("tle_line1", 3, 5)).try_cast("bigint")
+    number = to_integer(F.substring("tle_line1", 3, 5), "bigint")
     return rows.withColumn("satellite_name", F.trim("satellite_name")).withColumn("satellite_id", number)
 
 

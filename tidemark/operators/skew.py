@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import all_true
+from tidemark.operators.sizing import one_task_reads
 from tidemark.session import shuffle_partitions
 
 ROWS_PER_SLICE = 1_000
@@ -28,13 +29,6 @@ SLICE = "_slice"
 HALO = "_halo"
 
 
-def will_broadcast(df: DataFrame) -> bool:
-    """True when the optimizer's size estimate lets it broadcast ``df`` by itself."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
-
-
 def hot_keys(
     df: DataFrame, keys: Sequence[str], *stats: Column, weight: Column | None = None
 ) -> DataFrame | None:
@@ -102,8 +96,11 @@ def slice_hot_keys(
 ) -> DataFrame | None:
     """Add ``_slice``, a rising range number on ``order`` for hot keys and NULL for others.
 
-    None when no key is hot. Slice widths come from the key's count, minimum and maximum.
+    None when no key is hot or one task could read the rows. Slice widths come from the
+    key's count, minimum and maximum.
     """
+    if one_task_reads(df):
+        return None
     position = order_position(df, order)
     n, lo, hi = F.count(F.lit(1)), F.min(position), F.max(position)
     slices = F.least(F.lit(MAX_SLICES), F.ceil(n / F.lit(rows_per_slice)))
@@ -128,7 +125,7 @@ def with_halo(
     A window over keys and ``_slice`` that looks back at most ``halo`` rows then
     gives the result of the window over the keys alone. Halo rows carry
     ``_halo = true`` and only the ``values``; drop them afterwards. None when no key
-    is hot.
+    is hot or the rows are few.
 
     The rows that may precede a later slice are the last ``halo`` of each slice.
     Those are cut down before their shuffle, and there are at most
