@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from tidemark.sources.layouts import SOURCE_TABLES, layout
+from tidemark.sources.layouts import SOURCE_TABLES
 
 _WANTED_FIELDS = {
     "uid": "'W' || CAST(c.c_custkey AS STRING)",
@@ -26,10 +26,8 @@ _WANTED_FIELDS = {
 
 
 def _wanted() -> str:
-    fields = [
-        f"{_WANTED_FIELDS.get(f.name) or f'CAST(NULL AS {f.dataType.simpleString()})'} AS {f.name}"
-        for f in layout(SOURCE_TABLES["fbi"]["wanted"]).fields
-    ]
+    declared = [column.split(" ") for column in SOURCE_TABLES["fbi"]["wanted"].split(", ")]
+    fields = [f"{_WANTED_FIELDS.get(name) or f'CAST(NULL AS {kind})'} AS {name}" for name, kind in declared]
     return (
         f"SELECT {', '.join(fields)} FROM {{customer}} c LEFT JOIN (SELECT o_custkey, MAX(o_orderdate) AS latest, "
         "MIN(o_orderdate) AS earliest FROM {orders} GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey WHERE c.c_acctbal > 0"

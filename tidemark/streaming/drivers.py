@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.joins import missing_rows
 from tidemark.operators.loading import pick_per_key
@@ -63,7 +64,8 @@ def new_keys_stream(stream: DataFrame, key: Column, name: str, order: list[str],
         keyed = batch.withColumn(name, key)
         fresh = pick_per_key(keyed, [name], *[F.col(c) for c in order])
         if path_exists(spark, target):
-            stored = spark.read.schema(keyed.schema.add(BATCH, "bigint")).parquet(target)
+            fields = [*keyed.schema.fields, T.StructField(BATCH, T.LongType())]
+            stored = spark.read.schema(T.StructType(fields)).parquet(target)
             fresh = missing_rows(fresh, stored.where(F.col(BATCH) != batch_id), [name])
         fresh.write.mode("overwrite").parquet(os.path.join(target, f"{BATCH}={batch_id}"))
 
