@@ -10,6 +10,7 @@ from tidemark.catalog import query
 from tidemark.functions.dates import explode_year_chunks
 from tidemark.functions.keys import composite_key
 from tidemark.operators import aggregates, incremental, ordering, relations
+from tidemark.operators.history import instant
 
 NOW = dt.datetime(2024, 2, 1, 8, 0)
 FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
@@ -60,7 +61,7 @@ def watermark_state(t):
 def _watermark(t):
     return t("events").where(F.col("ts") < _at("2024-01-20")).agg(
         F.max("ts").alias("latest_ts"),
-        F.lit(NOW).cast("timestamp_ntz").alias("last_run"),
+        instant(NOW).alias("last_run"),
         F.count(F.lit(1)).alias("processed_records"),
         F.lit("success").alias("last_run_status"),
     )

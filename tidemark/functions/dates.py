@@ -112,8 +112,3 @@ def explode_year_chunks(df: DataFrame, start: Column | str, end: Column | str) -
 def day_span(first: Column | str, last: Column | str) -> Column:
     """Number of days in an inclusive range."""
     return F.datediff(as_col(last), as_col(first)) + 1
-
-
-def is_fresh(modified: Column | str, as_of: dt.datetime, hours: int = 72) -> Column:
-    """True while the age at ``as_of`` is below the limit."""
-    return as_col(modified) > F.lit(as_of - dt.timedelta(hours=hours)).cast("timestamp_ntz")

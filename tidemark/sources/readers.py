@@ -9,7 +9,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.history import instant
 from tidemark.operators.shaping import element_set_records
 from tidemark.sources.layouts import BENCH_TABLES, layout, source_layout
 
@@ -48,6 +47,6 @@ def read_element_sets(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fresh_json(spark: SparkSession, path: str, ddl: str, as_of: dt.datetime, hours: int = 72) -> DataFrame:
     """Records of the files changed within the time limit before ``as_of`` (UTC)."""
-    oldest = instant(as_of - dt.timedelta(hours=hours)).cast("timestamp")
+    oldest = F.timestamp_seconds(F.lit((as_of.replace(tzinfo=dt.timezone.utc) - dt.timedelta(hours=hours)).timestamp()))
     records = spark.read.schema(layout(ddl)).json(path)
     return records.where(F.col("_metadata.file_modification_time") > oldest)
