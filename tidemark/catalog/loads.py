@@ -193,7 +193,8 @@ def tagged_extracts(t):
     "s16_stride_records",
     r"""
     SELECT doc_id, i // 3 AS record_no, trim(l[i + 1]) AS satellite_name, l[i + 2] AS tle_line1, l[i + 3] AS tle_line2,
-           TRY_CAST(trim(substr(l[i + 2], 3, 5)) AS BIGINT) AS satellite_id
+           CASE WHEN regexp_matches(substr(l[i + 2], 3, 5), '^\s*[+-]?\d+\s*$')
+                THEN TRY_CAST(trim(substr(l[i + 2], 3, 5)) AS BIGINT) END AS satellite_id
     FROM (SELECT doc_id, regexp_split_to_array(regexp_replace(
               text || chr(10) || '1 ' || lpad(CAST(doc_id AS VARCHAR), 5, '0') || 'U' || chr(10) || '2 ',
               '^[ \t\r\n\f]+|[ \t\r\n\f]+$', '', 'g'), '\r\n|\r|\n') AS l FROM documents),

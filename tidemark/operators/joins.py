@@ -13,6 +13,7 @@ from tidemark.functions.keys import all_true
 from tidemark.operators.relations import inline_rows
 from tidemark.operators.sizing import fits_broadcast, one_task_reads
 from tidemark.operators.skew import SALT, hot_keys, mark_hot, repeat_per_salt, salt_rows
+from tidemark.session import shuffle_partitions
 
 
 def lookup_join(
@@ -106,8 +107,11 @@ def star_fanout(spine: DataFrame, key: str, children: Mapping[str, tuple[DataFra
     split_at = F.coalesce(*[F.when(F.col(f"_n{i}") == widest, F.lit(i)) for i in range(len(sides))])
     hot = hot_keys(counted, ["_key"], F.max(split_at).alias("_split"), weight=combinations)
 
+    # A fixed partition count keeps AQE from merging partitions whose rows are about to multiply.
+    parts = shuffle_partitions(spine.sparkSession)
     result = spine.select(F.col(key).alias("_key"))
     if hot is None:
+        result = result.repartition(parts, "_key")
         for name, side in zip(names, sides):
             result = result.join(side.drop("_has"), "_key", "left")
         return result.select(F.col("_key").alias(key), *names)
@@ -115,6 +119,7 @@ def star_fanout(spine: DataFrame, key: str, children: Mapping[str, tuple[DataFra
     all_salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     own_salt = F.array(F.pmod(F.spark_partition_id(), F.col("_salts")))
     result = mark_hot(result, hot, ["_key"]).withColumn(SALT, F.explode(all_salts)).drop("_salts")
+    result = result.repartition(parts, "_key", SALT)
     for i, (name, side) in enumerate(zip(names, sides)):
         salts = F.when(F.col("_split") == i, own_salt).otherwise(all_salts)
         salted = mark_hot(side, hot, ["_key"]).withColumn(SALT, F.explode(salts)).drop("_salts", "_split")
@@ -150,6 +155,9 @@ def hierarchy(df: DataFrame, group: str, value: str, depth: int = 7, carry: Sequ
         salt = F.coalesce(F.pmod(F.xxhash64(value), F.col("_salts")).cast("int"), F.lit(0))
         out = mark_hot(starts, hot, ["_group"]).withColumn(SALT, salt).drop("_salts")
         pool = repeat_per_salt(pool, hot, ["_group"])
+    # A fixed partition count keeps AQE from merging partitions whose rows are about to multiply.
+    together = ["_group", SALT] if salted else ["_group"]
+    out = out.repartition(shuffle_partitions(df.sparkSession), *together)
     taken = [value]
     for level in range(2, depth + 1):
         name = f"{value}{level}"
