@@ -41,11 +41,12 @@ def hot_keys(
     spark = df.sparkSession
     parts = shuffle_partitions(spark)
     measure = (F.count(F.lit(1)) if weight is None else F.sum(weight)).cast("double")
-    total = df.agg(measure).scalar()
+    grouped = df.groupBy(*keys).agg(measure.alias("_weight"), *stats)
+    heaviest, total = grouped.agg(F.max("_weight"), F.sum("_weight")).first()
+    if heaviest is None or heaviest * parts <= total:
+        return None
     hot = (
-        df.groupBy(*keys)
-        .agg(measure.alias("_weight"), *stats)
-        .where(F.col("_weight") * parts > total)
+        grouped.where(F.col("_weight") * parts > total)
         .withColumn("_salts", F.ceil(F.col("_weight") * parts / total).cast("int"))
         .drop("_weight")
     )
