@@ -34,7 +34,7 @@ def test_query_matches_sql(spark, oracle, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.oracle_sql()) == set(entry_module.queries())
+    assert set(QUERIES) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
