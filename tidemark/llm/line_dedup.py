@@ -185,9 +185,9 @@ def apply_bitmap(text: str, bitmap: str) -> Column:
 
 
 def drop_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The documents, all columns as they were, with their repeated lines gone; a null text becomes empty."""
+    """The documents, other columns as they were, with their repeated lines gone."""
     rows = with_bitmaps(docs, keep_bitmaps(docs, id_col, text_col), id_col, text_col)
-    new = apply_bitmap("text", "bitmap")
+    new = F.when(F.col("bitmap").isNull(), F.col("row").getField(text_col)).otherwise(apply_bitmap("text", "bitmap"))
     return rows.select(*[(new if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 

@@ -82,10 +82,10 @@ def cut_time(rows: DataFrame, budget: int) -> tuple[float, float, int]:
     return first, last, served
 
 
-def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken``.
+def served_passes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, passes``.
 
-    ``taken`` is a whole multiple of ``size``, from 0 to 3 times. The shuffle is the md5 of the id, so
+    ``passes``, 0 to 3, counts the copies that the mix takes. The shuffle is the md5 of the id, so
     reruns agree; a null id hashes as the empty text, and copies of one id are told apart by size only.
     Null and empty texts have size 0 and are never taken; a null source is a source of its own. With no
     words at all every target is 0. An empty table gives an empty result. Other columns are not read.
@@ -119,6 +119,37 @@ def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFra
     more = in_budget.groupBy(F.col("source").alias("s"), F.col("upto").alias("u")).agg(F.count("*").alias("more"))
     sure = sum((F.when(finish_time(p) < first, 1).otherwise(0) for p in range(1, MAX_PASSES + 1)), F.lit(0))
     rows = rows.join(more, F.col("source").eqNullSafe(F.col("s")) & (F.col("upto") == F.col("u")) & (F.col("size") > 0), "left")
-    return rows.select(
-        "doc_id", "size", "source_size", "target", ((sure + F.coalesce("more", F.lit(0))) * F.col("size")).cast("long").alias("taken")
+    return rows.select("doc_id", "source", "size", "source_size", "target", (sure + F.coalesce("more", F.lit(0))).cast("int").alias("passes"))
+
+
+def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """One row per document: ``doc_id, size, source_size, target, taken``, see :func:`served_passes`.
+
+    ``taken``: the words that the mix takes of it, a whole multiple of ``size``.
+    """
+    rows = served_passes(docs, id_col, text_col, source_col)
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("passes") * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """The documents that the mix takes, each as often as it takes them, all columns as they were.
+
+    Of rows alike in id, source and size the first by text get the copies that do not divide evenly.
+    """
+    alike = ("i", "s", "n")
+    passes = served_passes(docs, id_col, text_col, source_col).groupBy("doc_id", "source", "size")
+    passes = passes.agg(F.sum("passes").alias("total"), F.count("*").alias("rows")).hint("shuffle_hash")
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(f"`{id_col}`").cast("long").alias("i"),
+        F.col(f"`{source_col}`").cast("string").alias("s"),
+        word_count(text_col).alias("n"),
     )
+    same = rows["i"].eqNullSafe(passes["doc_id"]) & rows["s"].eqNullSafe(passes["source"]) & (rows["n"] == passes["size"])
+    rows = rows.join(passes, same).where("total > 0")
+    one = rows.where("rows = 1").select("row", F.col("total").alias("copies"))
+    nth = F.row_number().over(Window.partitionBy(*alike).orderBy(F.col("row").getField(text_col)))
+    share = F.floor(F.col("total") / F.col("rows")) + (nth <= F.col("total") % F.col("rows")).cast("int")
+    several = rows.where("rows > 1").withColumn("copies", share).where("copies > 0").select("row", F.col("copies").cast("long"))
+    both = one.unionByName(several)
+    return both.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -7,7 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import forest, line_dedup, mixing, near_vectors, packing, sharding, sql, token_files, tokens
+from tidemark.llm import (
+    forest,
+    language_model,
+    line_dedup,
+    mixing,
+    near_vectors,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    sql,
+    token_files,
+    tokens,
+)
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +67,19 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_forest_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality"), "doc_id", "text")
+
+
+@query
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
