@@ -35,6 +35,8 @@ MOST_MATCHES, VERIFY_COST = 6, 1 / 32
 COUNTERS, RANGES = 1 << 21, 128
 #: Nodes are compared with one of a shingle's nodes first while pairs exceed postings by this factor.
 PAIRS_PER_POSTING, STAR_ROUNDS = 4, 8
+#: Bits of the table that picks the texts to be compared.
+FILTER_BITS = 1 << 24
 #: Documents compared with one document in one run of a task.
 COMPARED_AT_ONCE = 500
 
@@ -164,11 +166,23 @@ def close_in_size(n: str, m: str) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
+def shared_needed(n: str, l: str, m: str, k: str) -> Column:  # noqa: E741
+    """Prefix shingles that two sets of sizes ``n`` and ``m`` with ``l`` and ``k`` matches required must share.
+
+    One of the two prefixes ends first in the global order. All common shingles up to there are in both
+    prefixes; the others are beyond that prefix, so they are no more than what it leaves of its set. What is
+    missing to the least overlap must be shared within the prefixes.
+    """
+    beyond = lambda size, match: F.greatest(F.lit(0), F.floor((size * PERCENT + 99) / 100) - match)
+    overlap = F.ceil((F.col(n) + F.col(m)) * PERCENT / (100 + PERCENT))
+    return F.greatest(F.least(l, k), overlap - F.greatest(beyond(F.col(n), F.col(l)), beyond(F.col(m), F.col(k))))
+
+
 def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """``node, root`` of all nodes that links connect to a smaller node. ``postings``: ``token, node, n, matches``."""
+    """``node, root`` of all nodes that links connect to a smaller node. ``postings``: ``token, node, n, l``."""
     edges = roots = None
 
-    def grow(found: DataFrame):
+    def grow(found: DataFrame) -> bool:
         nonlocal edges, roots
         merged = bool(found.head(1))
         if merged:
@@ -176,42 +190,79 @@ def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
             roots = connected_components(edges)
         return merged
 
-    def with_components() -> DataFrame:
-        if roots is None:
-            return postings.withColumn("root", F.col("node"))
-        return postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
     def mains(rows: DataFrame) -> DataFrame:
-        """Each token's largest component, its smallest node there, and how many nodes and pairs it has."""
-        by_root = rows.groupBy("token", "root").agg(F.count("*").alias("k"), F.min(F.struct("node", "n")).alias("first"))
-        return by_root.groupBy("token").agg(
-            F.max_by(F.struct(F.col("root").alias("main"), F.col("first.node").alias("pivot"), F.col("first.n").alias("pivot_n")), F.struct("k", "root")).alias("m"),
-            F.sum("k").alias("nodes"),
-            (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"),
-        ).where("pairs > 0").select("token", "m.*", "nodes", "pairs")
+        """Each token's largest component and one node of it, for tokens that hold several components."""
+        by_root = rows.groupBy("token", "root").agg(F.count("*").alias("k"), F.min(F.struct("node", "n", "l")).alias("first"))
+        main = F.struct(F.col("root").alias("main"), F.col("first.node").alias("pivot"), F.col("first.n").alias("pivot_n"), F.col("first.l").alias("pivot_l"))
+        by_token = by_root.groupBy("token").agg(
+            F.max_by(main, F.struct("k", -F.col("root"))).alias("m"), F.sum("k").alias("nodes"), (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs")
+        )
+        return by_token.where("pairs > 0").select("token", "m.*", "nodes", "pairs")
 
     for turn in range(STAR_ROUNDS + 1):
-        rows = with_components()
+        rows = postings.withColumn("root", F.col("node"))
+        if roots is not None:
+            rows = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         main = stage(mains(rows), "mains")
         pairs, nodes = main.agg(F.sum("pairs") / 2, F.sum("nodes")).first()
         if not nodes:
             return roots
-        others = rows.join(main, "token").where("root <> main")
-        if turn == STAR_ROUNDS or pairs <= PAIRS_PER_POSTING * nodes:
+        live = stage(rows.join(main.drop("nodes", "pairs"), "token"), "live")
+        if turn and (turn == STAR_ROUNDS or pairs <= PAIRS_PER_POSTING * nodes):
             break
-        star = others.where(close_in_size("n", "pivot_n")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        if not grow(stage(verified(stage(star, "star"), texts), "links")):
+        star = live.where("root <> main").where(close_in_size("n", "pivot_n"))
+        star = star.groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(
+            F.count("*").alias("shared"), F.max(shared_needed("n", "l", "pivot_n", "pivot_l")).alias("need")
+        )
+        if not grow(stage(verified(stage(star.where("shared >= need").select("a", "b"), "star"), texts), "links")):
             break
+        postings = live.select("token", "node", "n", "l")
     # every pair of different components has a node outside the token's largest one
-    left = others.select("token", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("matches").alias("x_l"), F.col("root").alias("x_root"))
-    right = rows.join(main.select("token", "main"), "token").select("token", "node", "n", "matches", "root", (F.col("root") == F.col("main")).alias("in_main"))
+    left = live.where("root <> main").select("token", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("l").alias("x_l"), F.col("root").alias("x_root"))
+    right = live.select("token", "node", "n", "l", "root", (F.col("root") == F.col("main")).alias("in_main"))
     both = left.join(right, "token").where(F.col("x_root") != F.col("root")).where(F.col("in_main") | (F.col("x") < F.col("node"))).where(close_in_size("x_n", "n"))
-    both = both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"), F.least("x_l", "matches").alias("need"))
+    both = both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"), shared_needed("x_n", "x_l", "n", "l").alias("need"))
     enough = both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
     grow(stage(verified(stage(enough, "candidates"), texts), "links"))
     return roots
 
 
+def only_these(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose ``text_key`` may be among ``keys``, by a bit table of fixed size.
+
+    It lets through all rows that are wanted and some others, so that few texts enter the join after it.
+    """
+    span = FILTER_BITS // 8 // RANGES
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_BITS // 8, np.uint8)
+        for batch in batches:
+            at = (batch.column("text_key").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        packed = [zlib.compress(bits[k * span : (k + 1) * span].tobytes(), 1) for k in range(RANGES)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array(packed, pa.binary())], ["span", "bits"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column("span").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                total[k] = total.get(k, np.uint8(0)) | np.frombuffer(zlib.decompress(raw), np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["span", "bits"])
+
+    rows = keys.select("text_key").mapInArrow(mark, "span int, bits binary").repartition(min(RANGES, parts(keys)), "span").mapInArrow(unite, "span int, bits binary")
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in rows.collect():  # FILTER_BITS bits in all
+        bits[row.span * span : (row.span + 1) * span] = np.frombuffer(row.bits, np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = (batch.column("text_key").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return texts.mapInArrow(some, texts.schema)
+
+
 def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``.
 
@@ -229,10 +280,10 @@ def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     several = tokens.select("token", "node", F.min("node").over(token).alias("low"), F.max("node").over(token).alias("high"))
     several = stage(several.where("low <> high").select("token", "node").distinct(), "postings")
     met = several.select("node").distinct()
-    first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("matches"))
-    first = stage(first.select("node", "first.*", "n", "matches"), "nodes")
-    postings = stage(several.join(first.select("node", "n", "matches"), "node"), "postings")
-    node_texts = stage(texts.join(first.select("node", "doc_id", "text_key").hint("shuffle_hash"), ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"))
+    first = stage(first.select("node", "first.*", "n", "l"), "nodes")
+    postings = several.join(first.select("node", "n", "l"), "node")
+    node_texts = stage(only_these(texts, first).join(first.select("node", "doc_id", "text_key").hint("shuffle_hash"), ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "texts")
     roots = link_components(postings, node_texts)
 
     members = usable.select("doc_id", "node").distinct()
