@@ -28,7 +28,7 @@ from tidemark.llm.text import Words, mix
 
 FOLDS, HELD_OUT = 5, 1
 #: Restaurants of contexts. Words before are hashed to them, so that their totals have a fixed size.
-CONTEXTS, SPANS = 1 << 20, 64
+CONTEXTS, SPANS = 1 << 18, 64
 SWEEPS, BURN_IN = 3, 1
 STRENGTH, ROOT_STRENGTH = 1.0, 10.0
 #: Tokens that a task packs at once; customers seated one by one before seating goes in leaps.
@@ -289,6 +289,7 @@ def fit(built: DataFrame) -> Totals:
             return (by_context(part, tables),), [in_root.sum(), root_tables.sum()]
 
         arrays, n = summed(model, seats, ["tables"])
+        shared.destroy()
         totals.tables.append(arrays["tables"])
         totals.root_customers.append(int(n[0]))
         totals.root_tables.append(int(n[1]))
