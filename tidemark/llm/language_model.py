@@ -32,7 +32,7 @@ CONTEXTS, SPANS = 1 << 18, 64
 SWEEPS, BURN_IN = 3, 1
 STRENGTH, ROOT_STRENGTH = 1.0, 10.0
 #: Tokens that a task packs at once; customers seated one by one before seating goes in leaps.
-PACKED_TOKENS, LEAP = 4_000_000, 16
+PACKED_TOKENS, LEAP = 1_500_000, 16
 _END, _BEGIN = np.uint64(0x5EED0E0D5EED0E0D), 0
 
 
