@@ -31,6 +31,9 @@ FOLDS, HELD_OUT = 5, 1
 CONTEXTS, SPANS = 1 << 18, 64
 SWEEPS, BURN_IN = 3, 1
 STRENGTH, ROOT_STRENGTH = 1.0, 10.0
+#: Parts for each shuffle partition, so that one fits a worker, and rows of texts a task merges before it
+#: sends them.
+PARTS, MERGED_ROWS = 3, 1_000_000
 #: Tokens that a task packs at once; customers seated one by one before seating goes in leaps.
 PACKED_TOKENS, LEAP = 1_500_000, 16
 _END, _BEGIN = np.uint64(0x5EED0E0D5EED0E0D), 0
@@ -230,8 +233,8 @@ def summed(rows: DataFrame, fn, columns: list[str]) -> tuple[dict[str, np.ndarra
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                arrays, numbers = fn(Part(row))
+            for i in range(batch.num_rows):
+                arrays, numbers = fn(Part(batch.slice(i, 1).to_pylist()[0]))
                 out = [(-1, -1, np.array(numbers, np.int64).tobytes())]
                 for k, x in enumerate(arrays):
                     x = x.astype("<i8")
@@ -305,27 +308,37 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     fold = crc_fold(F.col(f"`{id_col}`"), FOLDS) != HELD_OUT
     texts = id_text(docs, id_col, text_col, fold.alias("train")).withColumn("key", F.xxhash64("doc_id", "text"))
-    packed = texts.select("key", "train", "text").mapInArrow(pack_by_word(parts(docs)), _PACKED)
+    packed = texts.select("key", "train", "text").mapInArrow(pack_by_word(PARTS * parts(docs)), _PACKED)
     built = stage(packed.groupBy("part").applyInArrow(build_part, _PART), "word-parts")
     totals = fit(built)
     shared = docs.sparkSession.sparkContext.broadcast(totals)
 
+    names = ["n_tokens", "n_known", "base_score", "score"]
+
+    def merged(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        """One row per text of the parts seen so far."""
+        keys, where = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        sums = [np.bincount(where, np.concatenate([h[i] for h in held]), minlength=len(keys)) for i in range(1, 5)]
+        sums = [x.astype(np.int64) if i < 2 else x for i, x in enumerate(sums)]
+        return pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, sums)], ["key", *names])
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = shared.value
+        n, held = shared.value, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 part = Part(row)
                 times = np.frombuffer(row["tokens"], np.uint32)
                 text, keys = np.frombuffer(row["texts"], np.uint32), np.frombuffer(row["keys"], np.int64)
                 count = part.count[part.word]
                 add = lambda x: np.bincount(text, np.repeat(x, times), minlength=len(keys))  # noqa: B023, E731
-                sums = [
-                    np.bincount(text, minlength=len(keys)),
-                    add((count > 0).astype(float)).astype(np.int64),
-                    add(np.log10((count + 0.5) / (n.tokens + 0.5 * (n.words + 1)))),
-                    add(np.log10(part.probabilities(n))),
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, sums)], ["key", "n_tokens", "n_known", "base_score", "score"])
+                sums = [add(np.log10(part.probabilities(n))), add(np.log10((count + 0.5) / (n.tokens + 0.5 * (n.words + 1))))]
+                held.append([keys, np.bincount(text, minlength=len(keys)), add((count > 0).astype(float)), *reversed(sums)])
+                if sum(len(h[0]) for h in held) > MERGED_ROWS:
+                    yield merged(held)
+                    held = []
+        if held:
+            yield merged(held)
 
     rows = built.mapInArrow(scored, "key long, n_tokens long, n_known long, base_score double, score double")
     sums = rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
