@@ -34,7 +34,7 @@ MOST_MATCHES, VERIFY_COST = 6, 1 / 32
 #: Counters of the frequency table (4 bytes each) and the ranges it is summed in.
 COUNTERS, RANGES = 1 << 21, 128
 #: Nodes are compared with one of a shingle's nodes first while pairs exceed postings by this factor.
-PAIRS_PER_POSTING, STAR_ROUNDS = 4, 8
+PAIRS_PER_POSTING, STAR_ROUNDS = 0.5, 8
 #: Bits of the table that picks the texts to be compared.
 FILTER_BITS = 1 << 24
 #: Documents compared with one document in one run of a task.
