@@ -48,8 +48,8 @@ class EliasFano:
     def select(self, i: int) -> int:
         """The place of the i-th set bit."""
         byte, seen = int(self.samples[i // SAMPLE]), int(self.before[i // SAMPLE])
-        while seen + _ONES[self.high[byte]] <= i:
-            seen += int(_ONES[self.high[byte]])
+        while seen + (ones := int(_ONES[self.high[byte]])) <= i:
+            seen += ones
             byte += 1
         return 8 * byte + int(np.flatnonzero(np.unpackbits(self.high[byte : byte + 1]))[i - seen])
 
