@@ -147,3 +147,27 @@ def test_star_fanout_equals_left_joins(spark, rows):
     got = joins.star_fanout(spine, "k", children)
     assert rows(got) == rows(plain)
     assert got.where("k = 'hot'").count() == 40 * 12 * 2
+
+
+def test_salts_spread_rows_that_lie_together(spark):
+    together = skewed(spark).repartition(8, "k")
+    salted = salt_rows(together, hot_keys(together, ["k"]), ["k"]).where("k = 1")
+    sizes = [r["count"] for r in salted.groupBy(SALT).count().collect()]
+    assert len(sizes) == 3 and max(sizes) < 2 * min(sizes)
+
+
+def test_lookup_join_refuses_joins_that_keep_lookup_rows(spark):
+    with pytest.raises(ValueError, match="lookup_join"):
+        joins.lookup_join(skewed(spark), spark.range(3).withColumnRenamed("id", "key"), [("k", "key")], "right")
+
+
+def test_windows_with_missing_and_text_order(spark, rows):
+    df = spark.range(400).select(
+        F.lit("a").alias("k"), F.when(F.col("id") % 50 != 0, F.col("id") * 7 % 400).alias("t"), F.col("id").alias("i"), F.col("id").cast("double").alias("v")
+    )
+    df = df.withColumn("s", F.lpad(F.col("t").cast("string"), 4, "0"))
+    for order in (["t", "i"], ["s", "i"]):
+        plain = Window.partitionBy("k").orderBy(*order)
+        want = df.withColumn("m", F.avg("v").over(plain.rowsBetween(-13, 0))).withColumn("d", F.lag("v").over(plain))
+        got = windows.over_previous(df, ["k"], order, ["v"], 13, {"m": windows.trailing_mean("v"), "d": lambda w: F.lag("v").over(w)})
+        assert rows(got, "i", "m", "d") == rows(want, "i", "m", "d")

@@ -23,7 +23,8 @@ def round_ieee(c: Column | str, digits: int = 2) -> Column:
     """
     x, scale = as_col(c).cast("double"), float(10**digits)
     scaled = F.abs(x) * F.lit(scale)
-    rounded = F.signum(x) * F.floor(scaled + F.lit(0.5)).cast("double") / F.lit(scale)
+    whole = F.floor(scaled).cast("double")
+    rounded = F.signum(x) * (whole + F.when(scaled - whole >= 0.5, 1.0).otherwise(0.0)) / F.lit(scale)
     return F.when(scaled >= _WHOLE_FROM, x).otherwise(rounded)
 
 

@@ -15,6 +15,8 @@ from tidemark.operators.sizing import fits_broadcast, one_task_reads
 from tidemark.operators.skew import SALT, hot_keys, mark_hot, repeat_per_salt, salt_rows
 from tidemark.session import shuffle_partitions
 
+LOOKUP_JOINS = ("left", "inner", "left_semi", "left_anti")
+
 
 def lookup_join(
     rows: DataFrame,
@@ -35,6 +37,8 @@ def lookup_join(
     hot keys are counted first, on ``keys_from`` if ``rows`` is costly and some earlier
     table has the same keys.
     """
+    if how not in LOOKUP_JOINS:
+        raise ValueError(f"lookup_join keeps to {', '.join(LOOKUP_JOINS)}; rows of the lookup are repeated per salt")
     row_keys, lookup_keys = [a for a, _ in on], [b for _, b in on]
     names = {b: f"_lookup_{i}" for i, b in enumerate(lookup_keys)}
     same = all_true([F.col(a) == F.col(names[b]) for a, b in on])

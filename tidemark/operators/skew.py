@@ -12,6 +12,7 @@ into slices of the ordering column and give each slice the few rows before it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,6 @@ from tidemark.operators.sizing import one_task_reads
 from tidemark.session import shuffle_partitions
 
 ROWS_PER_SLICE = 1_000
-MAX_SLICES = 65_536
 SALT = "_salt"
 SLICE = "_slice"
 HALO = "_halo"
@@ -66,10 +66,12 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
 def salt_rows(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Give each row of a hot key one of the key's salts.
 
-    The salt comes from the input partition, so a rerun of a task repeats it and
-    equal copies of one row still spread.
+    The salt comes from the row and its input partition, so a rerun of a task repeats it,
+    rows of a key that lie together spread, and so do equal rows of several partitions.
     """
-    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_salts")))
+    content = [F.col(f.name) for f in df.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    place = F.spark_partition_id() + F.pmod(F.xxhash64(*content), F.col("_salts"))
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(place, F.col("_salts")))
     return mark_hot(df, hot, keys).withColumn(SALT, F.coalesce(salt, F.lit(0))).drop("_salts")
 
 
@@ -89,7 +91,10 @@ def order_position(df: DataFrame, column: str) -> Column:
             return F.unix_seconds(c)
         # Taken field by field, because a cast to an instant would follow the session zone.
         return F.unix_date(c.cast("date")).cast("bigint") * 86_400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    return F.floor(c).cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return c.cast("bigint")
+    # NaN and values beyond a bigint share the outermost positions
+    return F.floor(F.least(F.greatest(c.cast("double"), F.lit(-9e18)), F.lit(9e18))).cast("bigint")
 
 
 def slice_hot_keys(
@@ -97,19 +102,22 @@ def slice_hot_keys(
 ) -> DataFrame | None:
     """Add ``_slice``, a rising range number on ``order`` for hot keys and NULL for others.
 
-    None when no key is hot or one task could read the rows. Slice widths come from the
-    key's count, minimum and maximum.
+    None when no key is hot, one task could read the rows, or ``order`` is neither a number
+    nor a date or time. Slice widths come from the key's count, minimum and maximum.
+    NULL comes before all else and is slice -1.
     """
-    if one_task_reads(df):
+    sliced = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if one_task_reads(df) or not isinstance(df.schema[order].dataType, sliced):
         return None
     position = order_position(df, order)
     n, lo, hi = F.count(F.lit(1)), F.min(position), F.max(position)
-    slices = F.least(F.lit(MAX_SLICES), F.ceil(n / F.lit(rows_per_slice)))
-    width = F.greatest(F.lit(1), F.ceil((hi - lo + 1) / slices)).cast("bigint")
+    slices = F.ceil(n / F.lit(rows_per_slice))
+    width = F.greatest(F.lit(1.0), (hi.cast("double") - lo.cast("double") + 1) / slices)
     hot = hot_keys(df, keys, lo.alias("_lo"), width.alias("_width"))
     if hot is None:
         return None
-    number = F.floor((position - F.col("_lo")) / F.col("_width")).cast("bigint")
+    number = F.floor((position.cast("double") - F.col("_lo").cast("double")) / F.col("_width")).cast("bigint")
+    number = F.when(F.col("_width").isNotNull(), F.coalesce(number, F.lit(-1)))
     return mark_hot(df, hot.drop("_salts"), keys).withColumn(SLICE, number).drop("_lo", "_width")
 
 
@@ -129,8 +137,7 @@ def with_halo(
     is hot or the rows are few.
 
     The rows that may precede a later slice are the last ``halo`` of each slice.
-    Those are cut down before their shuffle, and there are at most
-    ``MAX_SLICES * halo`` of them per key.
+    Those are cut down before their shuffle, to ``halo`` rows per slice.
     """
     rows = slice_hot_keys(df, keys, order[0], rows_per_slice)
     if rows is None:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-_VERSION = re.compile(r"v(\d{6})$")
+_VERSION = re.compile(r"v(\d+)$")
 
 
 def _versions(spark: SparkSession, table: str) -> list[tuple[int, str]]:
