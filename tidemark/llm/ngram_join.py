@@ -134,8 +134,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of nodes whose texts are similar enough.
 
     Texts meet in runs: first the text of ``a``, then those compared with it, streamed. A node with many
-    pairs has many runs.
+    pairs has many runs. Texts of no pair stay out of the shuffle.
     """
+    texts = only_these(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
     width = F.ceil(F.count("*").over(Window.partitionBy("a")) / COMPARED_AT_ONCE)
     pairs = pairs.withColumn("run", F.pmod(F.xxhash64("b"), width).cast("int"))
     heads = pairs.select("a", "run").distinct()
@@ -227,8 +228,8 @@ def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
     return roots
 
 
-def only_these(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose ``text_key`` may be among ``keys``, by a bit table of fixed size.
+def only_these(texts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``texts`` whose ``key``, a hash, may be among ``keys``, by a bit table of fixed size.
 
     It lets through all rows that are wanted and some others, so that few texts enter the join after it.
     """
@@ -237,7 +238,7 @@ def only_these(texts: DataFrame, keys: DataFrame) -> DataFrame:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS // 8, np.uint8)
         for batch in batches:
-            at = (batch.column("text_key").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+            at = (batch.column(key).to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
             np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
         packed = [zlib.compress(bits[k * span : (k + 1) * span].tobytes(), 1) for k in range(RANGES)]
         yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array(packed, pa.binary())], ["span", "bits"])
@@ -249,7 +250,7 @@ def only_these(texts: DataFrame, keys: DataFrame) -> DataFrame:
                 total[k] = total.get(k, np.uint8(0)) | np.frombuffer(zlib.decompress(raw), np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["span", "bits"])
 
-    rows = keys.select("text_key").mapInArrow(mark, "span int, bits binary").repartition(min(RANGES, parts(keys)), "span").mapInArrow(unite, "span int, bits binary")
+    rows = keys.select(key).mapInArrow(mark, "span int, bits binary").repartition(min(RANGES, parts(keys)), "span").mapInArrow(unite, "span int, bits binary")
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in rows.collect():  # FILTER_BITS bits in all
         bits[row.span * span : (row.span + 1) * span] = np.frombuffer(row.bits, np.uint8)
@@ -257,7 +258,7 @@ def only_these(texts: DataFrame, keys: DataFrame) -> DataFrame:
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = (batch.column("text_key").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+            at = (batch.column(key).to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
             yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
 
     return texts.mapInArrow(some, texts.schema)
@@ -283,7 +284,7 @@ def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"))
     first = stage(first.select("node", "first.*", "n", "l"), "nodes")
     postings = several.join(first.select("node", "n", "l"), "node")
-    node_texts = stage(only_these(texts, first).join(first.select("node", "doc_id", "text_key").hint("shuffle_hash"), ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    node_texts = stage(only_these(texts, first, "text_key").join(first.select("node", "doc_id", "text_key").hint("shuffle_hash"), ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "texts")
     roots = link_components(postings, node_texts)
 
     members = usable.select("doc_id", "node").distinct()
