@@ -284,7 +284,9 @@ def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"))
     first = stage(first.select("node", "first.*", "n", "l"), "nodes")
     postings = several.join(first.select("node", "n", "l"), "node")
-    node_texts = stage(only_these(texts, first, "text_key").join(first.select("node", "doc_id", "text_key").hint("shuffle_hash"), ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    # a node has one id and text, so repeated rows meet where the join has put them
+    node_texts = only_these(texts, first, "text_key").join(first.select("node", "doc_id", "text_key").hint("shuffle_hash"), ["doc_id", "text_key"])
+    node_texts = stage(node_texts.dropDuplicates(["doc_id", "text_key"]).select("node", "text"), "texts")
     roots = link_components(postings, node_texts)
 
     members = usable.select("doc_id", "node").distinct()
