@@ -47,15 +47,14 @@ def child_to_root(t):
     LEFT JOIN (SELECT DISTINCT o_custkey, o_orderstatus AS status FROM orders) a ON c.c_custkey = a.o_custkey
     LEFT JOIN (SELECT DISTINCT o_custkey, o_orderpriority AS priority FROM orders) b ON c.c_custkey = b.o_custkey
     LEFT JOIN (SELECT DISTINCT o_custkey, CAST(EXTRACT(YEAR FROM o_orderdate) AS INTEGER) AS order_year
-               FROM orders WHERE o_orderstatus = 'P') y ON c.c_custkey = y.o_custkey
+               FROM orders) y ON c.c_custkey = y.o_custkey
     """,
 )
 def star_fanout(t):
     orders = t("orders")
     status = orders.select("o_custkey", F.col("o_orderstatus").alias("status")).distinct()
     priority = orders.select("o_custkey", F.col("o_orderpriority").alias("priority")).distinct()
-    pending = orders.where("o_orderstatus = 'P'")
-    years = pending.select("o_custkey", F.year("o_orderdate").alias("order_year")).distinct()
+    years = orders.select("o_custkey", F.year("o_orderdate").alias("order_year")).distinct()
     children = {
         "status": (status, "o_custkey", "status"),
         "priority": (priority, "o_custkey", "priority"),

@@ -10,9 +10,8 @@ from tidemark.functions.text import first_filled
 from tidemark.operators.aggregates import dimension, group_size
 from tidemark.operators.incremental import change_plan
 
-# Countries kept, and the codes they are loaded by.
+# Countries kept.
 COUNTRIES = ["New Zealand", "United Kingdom", "Australia", "Canada"]
-COUNTRY_CODES = ["NZ", "AU", "GB", "CA"]
 
 
 def city_records(cities: DataFrame, details: DataFrame) -> DataFrame:

@@ -7,20 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import group_size
 from tidemark.operators.incremental import change_plan
-from tidemark.operators.relations import inline_rows
 from tidemark.operators.shaping import explode_child, subject_rows
 
-# The topics searched for and the page size of the search.
-SEARCH_TOPICS = [
-    "Python Programming", "Apache Airflow", "Prefect Pythonic", "SQL Programming", "Dbtlabs", "Terraform", "DuckDB",
-    "PostgreSQL",
-]
-PAGE_SIZE = 100
-
-
-def topics(spark) -> DataFrame:
-    return inline_rows(spark, [(topic,) for topic in SEARCH_TOPICS], "search_term string")
-
 
 def load_plan(found: DataFrame, previous: DataFrame, books: DataFrame) -> DataFrame:
     """Which topics to load, from (search_term, n) counts of search, last run and table."""

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.operators.aggregates import processed_total
 from tidemark.operators.relations import combine_extracts
 
-# The countries requested.
-COUNTRIES = ["Canada", "Australia", "New Zealand", "United Kingdom"]
-
 
 def load(spark: SparkSession, extracts: Mapping[str, DataFrame | None]) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
     """(all records, failed countries, processed totals); None where every extract failed."""
