@@ -8,8 +8,9 @@ share the smaller ``l`` of the two.
 
 Documents with equal sets are one class, a node. A shingle shared by a large group of near copies would give
 the square of the group in pairs; so while such groups are about, each shingle's nodes are first compared
-with one of them, and only nodes of different components are paired in the end. No link between components
-is lost: every remaining pair of different components that shares enough prefix shingles is verified.
+with one of them, and only nodes of different components are paired in the end. Shingles that the same nodes
+hold are paired once, with a weight. No link between components is lost: every remaining pair of different
+components that shares enough prefix shingles is verified.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ PERCENT = 80
 MOST_MATCHES, VERIFY_COST = 6, 1 / 32
 #: Counters of the frequency table (4 bytes each) and the ranges it is summed in.
 COUNTERS, RANGES = 1 << 21, 128
-#: Nodes are compared with one of a shingle's nodes first while pairs exceed postings by this factor.
-PAIRS_PER_POSTING, STAR_ROUNDS = 0.5, 8
+#: Nodes are compared with one of a shingle's nodes first while pairs exceed postings by the first factor, and
+#: a round leaves less than the second of the pairs. All pairs left are then compared in any case.
+PAIRS_PER_POSTING, WORTH_A_ROUND, STAR_ROUNDS = 0.5, 0.8, 8
 #: Bits of the table that picks the texts to be compared.
 FILTER_BITS = 1 << 24
 #: Documents compared with one document in one run of a task.
@@ -179,9 +181,24 @@ def shared_needed(n: str, l: str, m: str, k: str) -> Column:  # noqa: E741
     return F.greatest(F.least(l, k), overlap - F.greatest(beyond(F.col(n), F.col(l)), beyond(F.col(m), F.col(k))))
 
 
+def same_nodes(postings: DataFrame) -> DataFrame:
+    """``token, node, w``: the shingles that the same nodes hold as one token, ``w`` of them.
+
+    A passage that many texts share gives the same pairs for each of its shingles; so it gives them once.
+    Sets of nodes are told apart by a hash. If two had the same, a pair's smaller ``w`` would still be no
+    less than the shingles that it shares, so that only a comparison is added.
+    """
+    held = postings.select("node", F.bit_xor(F.xxhash64("node")).over(Window.partitionBy("token")).alias("token"))
+    return held.groupBy("token", "node").agg(F.count("*").alias("w"))
+
+
 def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """``node, root`` of all nodes that links connect to a smaller node. ``postings``: ``token, node, n, l``."""
-    edges = roots = None
+    """``node, root`` of all nodes that links connect to a smaller node.
+
+    ``postings``: ``token, node, n, l, w``; a token stands for ``w`` shingles of one set of nodes. Each round
+    takes other nodes as pivots, by a hash of the node and the round that all tokens share.
+    """
+    edges = roots = before = None
 
     def grow(found: DataFrame) -> bool:
         nonlocal edges, roots
@@ -191,10 +208,11 @@ def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
             roots = connected_components(edges)
         return merged
 
-    def mains(rows: DataFrame) -> DataFrame:
+    def mains(rows: DataFrame, turn: int) -> DataFrame:
         """Each token's largest component and one node of it, for tokens that hold several components."""
-        by_root = rows.groupBy("token", "root").agg(F.count("*").alias("k"), F.min(F.struct("node", "n", "l")).alias("first"))
-        main = F.struct(F.col("root").alias("main"), F.col("first.node").alias("pivot"), F.col("first.n").alias("pivot_n"), F.col("first.l").alias("pivot_l"))
+        drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n", "l", "w")
+        by_root = rows.groupBy("token", "root").agg(F.count("*").alias("k"), F.min(drawn).alias("first"))
+        main = F.struct(F.col("root").alias("main"), *(F.col(f"first.{c}").alias(d) for c, d in (("node", "pivot"), ("n", "pivot_n"), ("l", "pivot_l"), ("w", "pivot_w"))))
         by_token = by_root.groupBy("token").agg(
             F.max_by(main, F.struct("k", -F.col("root"))).alias("m"), F.sum("k").alias("nodes"), (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs")
         )
@@ -204,26 +222,27 @@ def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
         rows = postings.withColumn("root", F.col("node"))
         if roots is not None:
             rows = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        main = stage(mains(rows), "mains")
+        main = stage(mains(rows, turn), "mains")
         pairs, nodes = main.agg(F.sum("pairs") / 2, F.sum("nodes")).first()
         if not nodes:
             return roots
         live = stage(rows.join(main.drop("nodes", "pairs"), "token"), "live")
-        if turn and (turn == STAR_ROUNDS or pairs <= PAIRS_PER_POSTING * nodes):
+        if turn and (turn == STAR_ROUNDS or pairs <= PAIRS_PER_POSTING * nodes or pairs > WORTH_A_ROUND * before):
             break
+        before = pairs
         star = live.where("root <> main").where(close_in_size("n", "pivot_n"))
         star = star.groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(
-            F.count("*").alias("shared"), F.max(shared_needed("n", "l", "pivot_n", "pivot_l")).alias("need")
+            F.sum(F.least("w", "pivot_w")).alias("shared"), F.max(shared_needed("n", "l", "pivot_n", "pivot_l")).alias("need")
         )
         if not grow(stage(verified(stage(star.where("shared >= need").select("a", "b"), "star"), texts), "links")):
             break
-        postings = live.select("token", "node", "n", "l")
+        postings = live.select("token", "node", "n", "l", "w")
     # every pair of different components has a node outside the token's largest one
-    left = live.where("root <> main").select("token", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("l").alias("x_l"), F.col("root").alias("x_root"))
-    right = live.select("token", "node", "n", "l", "root", (F.col("root") == F.col("main")).alias("in_main"))
+    left = live.where("root <> main").select("token", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("l").alias("x_l"), F.col("w").alias("x_w"), F.col("root").alias("x_root"))
+    right = live.select("token", "node", "n", "l", "w", "root", (F.col("root") == F.col("main")).alias("in_main"))
     both = left.join(right, "token").where(F.col("x_root") != F.col("root")).where(F.col("in_main") | (F.col("x") < F.col("node"))).where(close_in_size("x_n", "n"))
-    both = both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"), shared_needed("x_n", "x_l", "n", "l").alias("need"))
-    enough = both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
+    both = both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"), F.least("x_w", "w").alias("w"), shared_needed("x_n", "x_l", "n", "l").alias("need"))
+    enough = both.groupBy("a", "b").agg(F.sum("w").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
     grow(stage(verified(stage(enough, "candidates"), texts), "links"))
     return roots
 
@@ -279,7 +298,7 @@ def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     token = Window.partitionBy("token")
     tokens = usable.select(F.explode("prefix").alias("token"), "node")
     several = tokens.select("token", "node", F.min("node").over(token).alias("low"), F.max("node").over(token).alias("high"))
-    several = stage(several.where("low <> high").select("token", "node").distinct(), "postings")
+    several = stage(same_nodes(several.where("low <> high").select("token", "node").distinct()), "postings")
     met = several.select("node").distinct()
     first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"))
     first = stage(first.select("node", "first.*", "n", "l"), "nodes")
