@@ -36,7 +36,7 @@ MOST_MATCHES, VERIFY_COST = 6, 1 / 32
 COUNTERS, RANGES = 1 << 21, 128
 #: Nodes are compared with one of a shingle's nodes first while pairs exceed postings by the first factor, and
 #: a round leaves less than the second of the pairs. All pairs left are then compared in any case.
-PAIRS_PER_POSTING, WORTH_A_ROUND, STAR_ROUNDS = 0.5, 0.8, 8
+PAIRS_PER_POSTING, WORTH_A_ROUND, STAR_ROUNDS = 0.5, 0.95, 8
 #: Bits of the table that picks the texts to be compared.
 FILTER_BITS = 1 << 24
 #: Documents compared with one document in one run of a task.
@@ -195,8 +195,9 @@ def same_nodes(postings: DataFrame) -> DataFrame:
 def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
     """``node, root`` of all nodes that links connect to a smaller node.
 
-    ``postings``: ``token, node, n, l, w``; a token stands for ``w`` shingles of one set of nodes. Each round
-    takes other nodes as pivots, by a hash of the node and the round that all tokens share.
+    ``postings``: ``token, node, n, l, w, central``; a token stands for ``w`` shingles of one set of nodes. The
+    first round takes the nodes of largest ``central`` as pivots, later ones draw them by a hash of the node and
+    the round; all tokens draw alike.
     """
     edges = roots = before = None
 
@@ -210,7 +211,8 @@ def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
 
     def mains(rows: DataFrame, turn: int) -> DataFrame:
         """Each token's largest component and one node of it, for tokens that hold several components."""
-        drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n", "l", "w")
+        draw = F.xxhash64("node", F.lit(turn)) if turn else -F.col("central")
+        drawn = F.struct(draw.alias("draw"), "node", "n", "l", "w")
         by_root = rows.groupBy("token", "root").agg(F.count("*").alias("k"), F.min(drawn).alias("first"))
         main = F.struct(F.col("root").alias("main"), *(F.col(f"first.{c}").alias(d) for c, d in (("node", "pivot"), ("n", "pivot_n"), ("l", "pivot_l"), ("w", "pivot_w"))))
         by_token = by_root.groupBy("token").agg(
@@ -236,7 +238,7 @@ def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
         )
         if not grow(stage(verified(stage(star.where("shared >= need").select("a", "b"), "star"), texts), "links")):
             break
-        postings = live.select("token", "node", "n", "l", "w")
+        postings = live.select("token", "node", "n", "l", "w", "central")
     # every pair of different components has a node outside the token's largest one
     left = live.where("root <> main").select("token", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("l").alias("x_l"), F.col("w").alias("x_w"), F.col("root").alias("x_root"))
     right = live.select("token", "node", "n", "l", "w", "root", (F.col("root") == F.col("main")).alias("in_main"))
@@ -299,10 +301,12 @@ def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     tokens = usable.select(F.explode("prefix").alias("token"), "node")
     several = tokens.select("token", "node", F.min("node").over(token).alias("low"), F.max("node").over(token).alias("high"))
     several = stage(same_nodes(several.where("low <> high").select("token", "node").distinct()), "postings")
-    met = several.select("node").distinct()
-    first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"))
-    first = stage(first.select("node", "first.*", "n", "l"), "nodes")
-    postings = several.join(first.select("node", "n", "l"), "node")
+    met = several.groupBy("node").agg(F.sum("w").alias("kept"))
+    first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"), F.max("kept").alias("kept"))
+    # an original has few shingles of its own, so most of its prefix is shared
+    prefix = F.least("n", F.floor(F.col("n") * (100 - PERCENT) / 100) + F.col("l"))
+    first = stage(first.select("node", "first.*", "n", "l", (F.col("kept") / prefix).alias("central")), "nodes")
+    postings = several.join(first.select("node", "n", "l", "central"), "node")
     # a node has one id and text, so repeated rows meet where the join has put them
     node_texts = only_these(texts, first, "text_key").join(first.select("node", "doc_id", "text_key").hint("shuffle_hash"), ["doc_id", "text_key"])
     node_texts = stage(node_texts.dropDuplicates(["doc_id", "text_key"]).select("node", "text"), "texts")
