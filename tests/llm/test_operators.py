@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -285,6 +286,37 @@ def test_language_model_probabilities_sum_to_one():
     assert abs(p.sum() + unknown - 1) < 1e-9
 
 
+def test_language_model_keeps_every_context_apart(spark):
+    # 2 ** 18 + 200 contexts, each followed by one word of its own: no two share a restaurant
+    n = (1 << 18) + 200
+    texts = [(i, " ".join(f"c{k}" for k in range(a, min(n, a + 5000)))) for i, a in zip((k for k in range(10**6) if zlib.crc32(str(k).encode()) % 5 != 1), range(0, n, 5000), strict=False)]
+    built = language_model.deal_out(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")[1]
+    _, replies = language_model.fit(built, 8)
+    held = {}
+    for row in replies[0].where("n >= 0").collect():
+        held.setdefault((row.span, row.part, row.n), language_model.large(row.x))
+    places = {(r.span, r.part): language_model.large(r.x) for r in replies[0].where("n = -1").collect()}
+    customers = {(span, int(p)): int(x) for (span, part), at in places.items() for p, x in zip(at, held[span, part, 0], strict=True)}
+    assert len(customers) == n + 1  # and the start of a text
+    assert sum(customers.values()) == n + len(texts) and max(customers.values()) == len(texts)
+    assert sorted(customers.values())[-2] == 1
+
+
+def test_language_model_totals_are_those_of_all_parts():
+    names = {0: np.array([3, 7, 2**63 + 1], np.uint64), 1: np.array([7, 2**63 + 1, 2**63 + 2], np.uint64)}
+    counts = {0: np.array([5, 1, 300]), 1: np.array([2, 0, 70_000])}
+    sent = []
+    for k in names:
+        row = {"part": k, "entries": [3], "contexts": [0, 1, 2], "customers": [1, 1, 1]}
+        part = language_model.Part(row | {c: np.array(row[c], np.uint32).tobytes() for c in ("entries", "contexts", "customers")})
+        sent += language_model.messages(part, language_model.ranged(names[k], 1), {-2: names[k], 0: counts[k]}, [k + 4]).to_pylist()
+    table = lambda rows: pa.Table.from_pylist(rows, pa.schema([("span", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("x", pa.binary()), ("number", pa.int64())]))
+    out = language_model.add_up(table([r for r in sent if r["span"] == 0])).to_pylist()
+    got = {(r["part"], r["n"]): language_model.large(r["x"]).tolist() for r in out}
+    assert got == {(0, -1): [0, 1, 2], (1, -1): [1, 2, 3], (0, 0): [5, 3, 300], (1, 0): [3, 300, 70_000]}
+    assert language_model.add_up(table([r for r in sent if r["span"] < 0])).to_pylist()[0]["number"] == 9
+
+
 def test_quality_on_held_out_labels(spark):
     got = {r.doc_id: r for r in QUERIES["op1_quality"](spark, "/root/testdata/sf0.01").collect()}
     labels = duckdb.sql("SELECT doc_id, quality FROM '/root/testdata/sf0.01/labels.parquet'").fetchall()

@@ -1,22 +1,23 @@
 """A hierarchical Pitman-Yor language model, seated over the whole corpus and scored on every text.
 
-A restaurant stands for a context, the hash of the word before; all contexts share one parent, the unigram
-restaurant, whose base is uniform over the known words and one unknown. Customers are the training tokens.
-A sweep reseats, dish by dish, each word's customers in each restaurant one after the other, given all other
-seats and the parent's current probabilities; each table sends one customer to the parent. Probabilities are
+A restaurant stands for a context, the word before; all contexts share one parent, the unigram restaurant,
+whose base is uniform over the known words and one unknown. Customers are the training tokens. A sweep
+reseats, dish by dish, each word's customers in each restaurant one after the other, given all other seats
+and the parent's current probabilities; each table sends one customer to the parent. Probabilities are
 averaged over the sweeps after the first.
 
 Spark deals all tokens out by word, so a word's customers in every context, its tables and its probability
-are together; a part is one row of a staged table. Only the totals of the restaurants, of which there is a
-fixed number, pass between parts. Every sweep's seats follow from seeds and those totals, so a part that is
-lost is seated again in the same way.
+are together; a part is one row of a staged table. There are as many restaurants as contexts, told apart by
+the hash of the word, and their totals stay in Spark: each sweep every part sends its sums, one for each of
+its contexts, to the spans of contexts, where they are added up, and gets the totals of its own contexts
+back. A context has one sum for each part at most, so none is hot. Every sweep's seats follow from seeds and
+those totals, so a part that is lost is seated again in the same way.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,19 +25,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_fold, id_text, parts, slices, stage
-from tidemark.llm.text import Words, mix
+from tidemark.llm.text import Words
 
 FOLDS, HELD_OUT = 5, 1
-#: Restaurants of contexts. Words before are hashed to them, so that their totals have a fixed size.
-CONTEXTS, SPANS = 1 << 18, 64
 SWEEPS, BURN_IN = 3, 1
 STRENGTH, ROOT_STRENGTH = 1.0, 10.0
-#: Parts for each shuffle partition, so that one fits a worker, and rows of texts a task merges before it
-#: sends them.
-PARTS, MERGED_ROWS = 3, 1_000_000
+#: Parts for each shuffle partition, so that one fits a worker.
+PARTS = 3
 #: Tokens that a task packs at once; customers seated one by one before seating goes in leaps.
 PACKED_TOKENS, LEAP = 1_500_000, 16
-_END, _BEGIN = np.uint64(0x5EED0E0D5EED0E0D), 0
+_END, _BEGIN = np.uint64(0x5EED0E0D5EED0E0D), np.uint64(0x5EEDBE615EEDBE61)
+#: What a message between parts and spans holds, beside totals: the names of contexts, or their places in a span.
+_NAMES, _PLACES, _CUSTOMERS = -2, -1, 0
+
+
+def small(x: np.ndarray) -> bytes:
+    """Integers from 0 on in as few bytes as the largest needs, all lowest bytes first."""
+    width = max(1, -(-int(x.max() if len(x) else 0).bit_length() // 8))
+    return bytes([width]) + np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def large(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.view("<i8").reshape(-1)
+
+
+def ranged(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The range of each 64-bit hash among ``n`` equal ones, in their order."""
+    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,14 +67,15 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     is_word = np.ones(total, bool)
     is_word[ends] = False
     word[is_word], word[ends] = words.hashes(), _END
-    context = np.empty(total, np.uint32)
-    context[1:] = 1 + (mix(word[:-1]) % np.uint64(CONTEXTS - 1)).astype(np.uint32)
+    context = np.empty(total, np.uint64)
+    context[1:] = word[:-1]
     context[np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends] = _BEGIN
     return word, context, np.repeat(np.arange(len(words), dtype=np.uint32), counts + 1)
 
 
 def pack_by_word(n_parts: int):
-    """Tokens of many texts as one row for each part, dealt out by ranges of the word hash."""
+    """Tokens of many texts as one row for each part, dealt out by ranges of the word hash: for each word its
+    contexts, for each of those the count of training tokens and the texts of all its tokens."""
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         if not held:
@@ -65,27 +84,26 @@ def pack_by_word(n_parts: int):
         word, context = (np.concatenate([h[i] for h in held]) for i in (0, 1))
         text = np.concatenate([h[2] + np.uint32(b) for h, b in zip(held, base, strict=False)])
         keys, train = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
-        order = np.argsort(word, kind="stable")
+        order = np.lexsort((context, word))
         word, context, text = word[order], context[order], text[order]
-        new = np.concatenate([[True], word[1:] != word[:-1]])
-        edges = np.searchsorted(word, [np.uint64(2**64 * k // n_parts) for k in range(1, n_parts)])
-        edges = [0, *edges.tolist(), len(word)]
-        rows = {name: [] for name in ("part", "keys", "train", "words", "runs", "contexts", "texts")}
-        for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            if a == b:
-                continue
-            starts = np.flatnonzero(new[a:b])
-            used, local = np.unique(text[a:b], return_inverse=True)
-            rows["part"].append(k)
+        starts, new_word = runs(word, context)
+        part = ranged(word[starts], n_parts)
+        customers = np.add.reduceat(train[text].astype(np.int64), starts)
+        ends = np.append(starts[1:], len(word))
+        rows = {name: [] for name in _PACKED}
+        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            first = np.flatnonzero(new_word[a:b])
+            used, local = np.unique(text[starts[a] : ends[b - 1]], return_inverse=True)
+            rows["part"].append(int(part[a]))
             rows["keys"].append(keys[used].tobytes())
-            rows["train"].append(train[used].tobytes())
-            rows["words"].append(word[a:b][starts].tobytes())
-            rows["runs"].append(np.diff(np.append(starts, b - a)).astype(np.uint32).tobytes())
-            three = context[a:b].view(np.uint8).reshape(-1, 4)  # CONTEXTS needs three bytes
-            rows["contexts"].append(np.ascontiguousarray(three[:, :3].T).tobytes())
-            two = local.astype(np.uint32).view(np.uint8).reshape(-1, 4)
-            rows["texts"].append(np.ascontiguousarray(two.T).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(rows["part"], pa.int32()), *(pa.array(x, pa.binary()) for x in list(rows.values())[1:])], list(rows))
+            rows["words"].append(word[starts[a:b]][first].tobytes())
+            rows["entries"].append(small(np.diff(np.append(first, b - a))))
+            rows["contexts"].append(context[starts[a:b]].tobytes())
+            rows["customers"].append(small(customers[a:b]))
+            rows["tokens"].append(small(ends[a:b] - starts[a:b]))
+            rows["texts"].append(small(local))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if c == "part" else pa.binary()) for c, x in rows.items()], list(rows))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -101,49 +119,57 @@ def pack_by_word(n_parts: int):
     return pack
 
 
-_PACKED = "part int, keys binary, train binary, words binary, runs binary, contexts binary, texts binary"
-_PART = "part int, entries binary, contexts binary, customers binary, tokens binary, texts binary, keys binary"
+_PACKED = ("part", "keys", "words", "entries", "contexts", "customers", "tokens", "texts")
+_PART = ("part", "entries", "names", "contexts", "customers", "tokens", "texts", "keys")
+_MESSAGE = "span int, part int, n int, x binary, number long"
+
+
+def schema(names: tuple[str, ...]) -> str:
+    return ", ".join(f"{c} {'int' if c == 'part' else 'binary'}" for c in names)
+
+
+def runs(word: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of one word and context, and which of those runs start a word."""
+    new_word = np.concatenate([[True], word[1:] != word[:-1]])
+    starts = np.flatnonzero(new_word | np.concatenate([[True], context[1:] != context[:-1]]))
+    return starts, new_word[starts]
 
 
 def build_part(rows: pa.Table) -> pa.Table:
-    """All tokens of a part's words, sorted: for each word its contexts, for each of those the training count
-    and the texts of its tokens."""
-    word, context, text, train, keys, base = [], [], [], [], [], 0
+    """A part's words, sorted: for each its contexts, for each of those the training count and the texts of
+    its tokens. Contexts are numbered within the part, in the order of their hashes."""
+    word, context, customers, times, text, keys, base = [], [], [], [], [], [], 0
     for row in rows.to_pylist():
-        k = np.frombuffer(row["keys"], np.int64)
-        t = np.frombuffer(row["texts"], np.uint8).reshape(4, -1)
-        t = np.ascontiguousarray(t.T).view(np.uint32).reshape(-1)
-        c = np.zeros((len(t), 4), np.uint8)
-        c[:, :3] = np.frombuffer(row["contexts"], np.uint8).reshape(3, -1).T
-        word.append(np.repeat(np.frombuffer(row["words"], np.uint64), np.frombuffer(row["runs"], np.uint32)))
-        context.append(c.view(np.uint32).reshape(-1))
-        train.append(np.frombuffer(row["train"], bool)[t])
-        text.append(t + np.uint32(base))
-        keys.append(k)
-        base += len(k)
-    word, context, text, train = map(np.concatenate, (word, context, text, train))
+        word.append(np.repeat(np.frombuffer(row["words"], np.uint64), large(row["entries"])))
+        context.append(np.frombuffer(row["contexts"], np.uint64))
+        customers.append(large(row["customers"]))
+        times.append(large(row["tokens"]))
+        text.append((large(row["texts"]) + base).astype(np.uint32))
+        keys.append(np.frombuffer(row["keys"], np.int64))
+        base += len(keys[-1])
+    word, context, customers, times, text = map(np.concatenate, (word, context, customers, times, text))
     order = np.lexsort((context, word))
-    word, context, text, train = word[order], context[order], text[order], train[order]
-    new_word = np.concatenate([[True], word[1:] != word[:-1]])
-    starts = np.flatnonzero(new_word | np.concatenate([[True], context[1:] != context[:-1]]))
-    entry_word = np.cumsum(new_word[starts]) - 1
-    raw = lambda x, kind=np.uint32: pa.array([x.astype(kind).tobytes()], pa.binary())
-    return pa.table(
-        {
-            "part": rows.column("part").slice(0, 1),
-            "entries": raw(np.bincount(entry_word)),
-            "contexts": raw(context[starts]),
-            "customers": raw(np.add.reduceat(train.astype(np.int64), starts)),
-            "tokens": raw(np.diff(np.append(starts, len(word)))),
-            "texts": raw(text),
-            "keys": raw(np.concatenate(keys), np.int64),
-        }
-    )
+    first = (np.cumsum(times) - times)[order]
+    word, context, customers, times = word[order], context[order], customers[order], times[order]
+    text = text[np.repeat(first - (np.cumsum(times) - times), times) + np.arange(len(text))]
+    starts, new_word = runs(word, context)
+    names, local = np.unique(context[starts], return_inverse=True)
+    made = {
+        "entries": small(np.bincount(np.cumsum(new_word) - 1)),
+        "names": names.tobytes(),
+        "contexts": small(local),
+        "customers": small(np.add.reduceat(customers, starts)),
+        "tokens": small(np.add.reduceat(times, starts)),
+        "texts": small(text),
+        "keys": np.concatenate(keys).tobytes(),
+    }
+    return pa.table({"part": rows.column("part").slice(0, 1)} | {c: pa.array([made[c]], pa.binary()) for c in _PART[1:]})
 
 
 @dataclass
 class Totals:
-    """What all parts share: token and word counts, discounts, and each sweep's restaurant totals."""
+    """What all parts share: token and word counts, discounts, and each sweep's totals of the root; and, of one
+    part's contexts, the customers and each sweep's tables."""
 
     tokens: int = 0
     words: int = 0
@@ -226,77 +252,130 @@ class Part:
         return total / (len(totals.tables) - 1 - BURN_IN)
 
 
-def summed(rows: DataFrame, fn, columns: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Sums over parts of arrays by context and of a few numbers. ``fn(part)`` gives both; arrays travel
-    compressed in ``SPANS`` pieces that are added up streaming, and ``CONTEXTS`` totals reach the driver."""
-    span = CONTEXTS // SPANS
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                arrays, numbers = fn(Part(batch.slice(i, 1).to_pylist()[0]))
-                out = [(-1, -1, np.array(numbers, np.int64).tobytes())]
-                for k, x in enumerate(arrays):
-                    x = x.astype("<i8")
-                    out += [(k, s, zlib.compress(x[s * span : (s + 1) * span].tobytes(), 1)) for s in range(SPANS)]
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["k", "s", "x"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for k, s, x in zip(*(batch.column(c).to_pylist() for c in ("k", "s", "x")), strict=True):
-                total[k, s] = total.get((k, s), 0) + np.frombuffer(x if k < 0 else zlib.decompress(x), "<i8")
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in total], pa.int32()), pa.array([s for _, s in total], pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
-            ["k", "s", "x"],
-        )
-
-    got = rows.mapInArrow(emit, "k int, s int, x binary").repartition(min(SPANS, parts(rows)), "k", "s").mapInArrow(add, "k int, s int, x binary").collect()
-    arrays = {name: np.zeros(CONTEXTS, np.int64) for name in columns}
-    numbers = np.zeros(8, np.int64)
-    for row in got:
-        x = np.frombuffer(row.x, np.int64)
-        if row.k < 0:
-            numbers[: len(x)] = x
+def opened(rows: pa.Table, shared: Totals) -> tuple[Part, dict, Totals]:
+    """A part, its row, and its totals: what is shared and what the spans have sent to it."""
+    *replies, row = sorted(rows.to_pylist(), key=lambda r: (r["n"] is None, r["n"] or 0, r["span"] or 0))
+    for name in ("entries", "contexts", "customers"):
+        row[name] = large(row[name]).astype(np.uint32).tobytes()
+    arrays: dict[int, list[np.ndarray]] = {}
+    for r in replies:
+        arrays.setdefault(r["n"], []).append(large(r["x"]))
+    row["spans"] = [r["span"] for r in replies if r["n"] == _CUSTOMERS]
+    row["sizes"] = [len(x) for x in arrays.get(_CUSTOMERS, [])]
+    by_n = [np.concatenate(arrays[n]) for n in sorted(arrays)]
+    return Part(row), row, replace(shared, customers=by_n[0] if by_n else None, tables=by_n[1:])
+
+
+def messages(part: Part, spans: np.ndarray, arrays: dict[int, np.ndarray], numbers: list[int]) -> pa.Table:
+    """A part's arrays by context, cut at the spans, and its numbers, as rows of ``_MESSAGE``."""
+    edges = np.flatnonzero(np.concatenate([[True], spans[1:] != spans[:-1], [True]]))
+    rows = [(-1 - i, part.part, None, None, int(x)) for i, x in enumerate(numbers)]
+    for n, x in arrays.items():
+        rows += [(int(spans[a]), part.part, n, x[a:b].tobytes() if n == _NAMES else small(x[a:b]), None) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+    return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], ["span", "part", "n", "x", "number"])
+
+
+def add_up(rows: pa.Table) -> pa.Table:
+    """The totals of a span's contexts over all parts, as replies to each part in the order of its contexts.
+
+    With names, the contexts' places in the span come too, for later sweeps. Below zero: one number's total.
+    """
+    span = rows.column("span")[0].as_py()
+    if span < 0:
+        out = [(span, -1, None, None, sum(rows.column("number").to_pylist()))]
+    else:
+        sent: dict[int, dict[int, bytes]] = {}
+        for part, n, x in zip(*(rows.column(c).to_pylist() for c in ("part", "n", "x")), strict=True):
+            sent.setdefault(n, {})[part] = x
+        out = []
+        if _NAMES in sent:
+            names = {part: np.frombuffer(x, np.uint64) for part, x in sent.pop(_NAMES).items()}
+            cut = np.cumsum([len(x) for x in names.values()])[:-1]
+            places = dict(zip(names, np.split(np.unique(np.concatenate(list(names.values())), return_inverse=True)[1], cut), strict=True))
+            out += [(span, part, _PLACES, small(x), None) for part, x in places.items()]
         else:
-            arrays[columns[row.k]][row.s * span : (row.s + 1) * span] = x
-    return arrays, numbers
+            places = {part: large(x) for part, x in sent.pop(_PLACES).items()}
+        for n, sums in sent.items():
+            total = np.zeros(1 + max(int(x.max()) for x in places.values()), np.int64)
+            for part, x in sums.items():
+                total[places[part]] += large(x)
+            out += [(span, part, n, small(total[places[part]]), None) for part in sums]
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+    return pa.table([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], ["span", "part", "n", "x", "number"])
+
+
+def numbers_of(replies: DataFrame, count: int) -> np.ndarray:
+    out = np.zeros(count, np.int64)
+    for row in replies.where("span < 0").collect():  # a row for each number
+        out[-1 - row.span] = row.number
+    return out
 
 
-def by_context(part: Part, weights: np.ndarray) -> np.ndarray:
-    return np.bincount(part.context, weights, minlength=CONTEXTS).astype(np.int64)
+def by_context(part: Part, weights: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(part.context, weights, minlength=size).astype(np.int64)
 
 
 def ney_discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
 
-def fit(built: DataFrame) -> Totals:
-    """Count the corpus and run the sweeps; discounts follow from the counts of counts."""
+def with_replies(rows: DataFrame, replies: list[DataFrame]) -> DataFrame:
+    """The parts' rows, each with what the spans have sent to it."""
+    rows = rows.withColumn("n", F.lit(None).cast("int")).withColumn("span", F.lit(None).cast("int"))
+    for r in replies:
+        rows = rows.unionByName(r.where(f"n >= {_CUSTOMERS}").select("part", "n", "span", "x"), allowMissingColumns=True)
+    return rows
+
+
+def sweep(shared: Totals, turn: int):
+    def seats(rows: pa.Table) -> pa.Table:
+        part, row, own = opened(rows, shared)
+        tables, in_root, root_tables = part.last_sweep(own)
+        arrays = {turn + 2: by_context(part, tables, len(own.customers))}
+        return messages(part, np.repeat(row["spans"], row["sizes"]), arrays, [in_root.sum(), root_tables.sum()])
+
+    return seats
+
+
+def fit(built: DataFrame, n_spans: int) -> tuple[Totals, list[DataFrame]]:
+    """Count the corpus and run the sweeps; discounts follow from the counts of counts.
+
+    The shared totals, and for each sweep the totals of the contexts as rows for each part.
+    """
     model = built.select("part", "entries", "contexts", "customers")
 
-    def counts(part: Part):
+    def counts(rows: pa.Table) -> pa.Table:
+        part, row, _ = opened(rows, Totals())
+        names = np.frombuffer(row["names"], np.uint64)
         tables, in_root, root_tables = part.last_sweep(Totals())
         of = lambda x, n: int((x == n).sum())
         numbers = [part.count.sum(), (part.count > 0).sum(), of(part.customers, 1), of(part.customers, 2), of(in_root, 1), of(in_root, 2), in_root.sum(), root_tables.sum()]
-        return (by_context(part, part.customers), by_context(part, tables)), numbers
-
-    arrays, n = summed(model, counts, ["customers", "tables"])
-    totals = Totals(int(n[0]), int(n[1]), ney_discount(int(n[2]), int(n[3])), ney_discount(int(n[4]), int(n[5])), arrays["customers"])
-    totals.tables, totals.root_customers, totals.root_tables = [arrays["tables"]], [int(n[6])], [int(n[7])]
-    for _ in range(SWEEPS):
-        shared = built.sparkSession.sparkContext.broadcast(totals)  # CONTEXTS totals for each sweep
-
-        def seats(part: Part, shared=shared):
-            tables, in_root, root_tables = part.last_sweep(shared.value)
-            return (by_context(part, tables),), [in_root.sum(), root_tables.sum()]
-
-        arrays, n = summed(model, seats, ["tables"])
-        shared.destroy()
-        totals.tables.append(arrays["tables"])
-        totals.root_customers.append(int(n[0]))
-        totals.root_tables.append(int(n[1]))
-    return totals
+        arrays = {_NAMES: names, _CUSTOMERS: by_context(part, part.customers, len(names)), 1: by_context(part, tables, len(names))}
+        return messages(part, ranged(names, n_spans), arrays, numbers)
+
+    first = with_replies(built.select(*model.columns, "names"), [])
+    replies = [stage(first.groupBy("part").applyInArrow(counts, _MESSAGE).groupBy("span").applyInArrow(add_up, _MESSAGE), "context-totals")]
+    n = numbers_of(replies[0], 8)
+    totals = Totals(int(n[0]), int(n[1]), ney_discount(int(n[2]), int(n[3])), ney_discount(int(n[4]), int(n[5])))
+    totals.root_customers, totals.root_tables = [int(n[6])], [int(n[7])]
+    places = replies[0].where(f"n = {_PLACES}")
+    for turn in range(SWEEPS):
+        seats = sweep(totals, turn)
+        sent = with_replies(model, replies).groupBy("part").applyInArrow(seats, _MESSAGE).unionByName(places)
+        replies.append(stage(sent.groupBy("span").applyInArrow(add_up, _MESSAGE), "context-totals"))
+        n = numbers_of(replies[-1], 2)
+        totals.root_customers = [*totals.root_customers, int(n[0])]
+        totals.root_tables = [*totals.root_tables, int(n[1])]
+    return totals, replies
+
+
+def deal_out(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The texts with key and fold, and the staged parts of all their tokens."""
+    fold = crc_fold(F.col(f"`{id_col}`"), FOLDS) != HELD_OUT
+    texts = id_text(docs, id_col, text_col, fold.alias("train")).withColumn("key", F.xxhash64("doc_id", "text"))
+    packed = texts.select("key", "train", "text").mapInArrow(pack_by_word(PARTS * parts(docs)), schema(_PACKED))
+    return texts, stage(packed.groupBy("part").applyInArrow(build_part, schema(_PART)), "word-parts")
 
 
 def score_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -306,41 +385,22 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     one end token; a null id counts as the empty text. Repeated rows each count as training text and each
     get their score. An empty table gives an empty result. Other columns are not read.
     """
-    fold = crc_fold(F.col(f"`{id_col}`"), FOLDS) != HELD_OUT
-    texts = id_text(docs, id_col, text_col, fold.alias("train")).withColumn("key", F.xxhash64("doc_id", "text"))
-    packed = texts.select("key", "train", "text").mapInArrow(pack_by_word(PARTS * parts(docs)), _PACKED)
-    built = stage(packed.groupBy("part").applyInArrow(build_part, _PART), "word-parts")
-    totals = fit(built)
-    shared = docs.sparkSession.sparkContext.broadcast(totals)
-
-    names = ["n_tokens", "n_known", "base_score", "score"]
-
-    def merged(held: list[list[np.ndarray]]) -> pa.RecordBatch:
-        """One row per text of the parts seen so far."""
-        keys, where = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        sums = [np.bincount(where, np.concatenate([h[i] for h in held]), minlength=len(keys)) for i in range(1, 5)]
-        sums = [x.astype(np.int64) if i < 2 else x for i, x in enumerate(sums)]
-        return pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, sums)], ["key", *names])
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, held = shared.value, []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                part = Part(row)
-                times = np.frombuffer(row["tokens"], np.uint32)
-                text, keys = np.frombuffer(row["texts"], np.uint32), np.frombuffer(row["keys"], np.int64)
-                count = part.count[part.word]
-                add = lambda x: np.bincount(text, np.repeat(x, times), minlength=len(keys))  # noqa: B023, E731
-                sums = [add(np.log10(part.probabilities(n))), add(np.log10((count + 0.5) / (n.tokens + 0.5 * (n.words + 1))))]
-                held.append([keys, np.bincount(text, minlength=len(keys)), add((count > 0).astype(float)), *reversed(sums)])
-                if sum(len(h[0]) for h in held) > MERGED_ROWS:
-                    yield merged(held)
-                    held = []
-        if held:
-            yield merged(held)
-
-    rows = built.mapInArrow(scored, "key long, n_tokens long, n_known long, base_score double, score double")
+    texts, built = deal_out(docs, id_col, text_col)
+    totals, replies = fit(built, parts(docs))
+
+    def scored(rows: pa.Table) -> pa.Table:
+        """One row per text of a part."""
+        part, row, own = opened(rows, totals)
+        times, text, keys = large(row["tokens"]), large(row["texts"]), np.frombuffer(row["keys"], np.int64)
+        count = part.count[part.word]
+        keys, where = np.unique(keys, return_inverse=True)
+        text = where[text]
+        add = lambda x: np.bincount(text, np.repeat(x, times), minlength=len(keys))
+        base = add(np.log10((count + 0.5) / (own.tokens + 0.5 * (own.words + 1))))
+        sums = [np.bincount(text, minlength=len(keys)), add(count > 0).astype(np.int64), base, add(np.log10(part.probabilities(own)))]
+        return pa.table([pa.array(x) for x in (keys, *sums)], ["key", "n_tokens", "n_known", "base_score", "score"])
+
+    rows = with_replies(built.drop("names"), replies).groupBy("part").applyInArrow(scored, "key long, n_tokens long, n_known long, base_score double, score double")
     sums = rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     who = texts.select("key", "doc_id", (~F.col("train")).alias("held_out"))
     alike = who.groupBy("key").agg(F.count("*").alias("alike"))  # rows of one id and text
