@@ -302,6 +302,24 @@ def test_language_model_keeps_every_context_apart(spark):
     assert sorted(customers.values())[-2] == 1
 
 
+def test_language_model_splits_one_word_over_parts(spark, monkeypatch):
+    # a third of all tokens is one word, a ninth one pair of it with itself
+    rng = np.random.default_rng(6)
+    texts = [(i, " ".join(np.where(rng.random(400) < 1 / 3, "hot", rng.choice([f"v{k}" for k in range(300)], 400)))) for i in range(300)]
+    table = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    _, built, common = language_model.deal_out(table, "doc_id", "text")
+    held = [int(language_model.large(r.tokens).sum()) for r in built.collect()]
+    assert sum(held) == 300 * 401 and max(held) < 4 * sum(held) / len(held)
+    assert len(common.pair_words) and built.where("entries IS NULL").count()
+    split = {r.doc_id: r for r in language_model.score_texts(table, "doc_id", "text").collect()}
+    empty = np.zeros(0, np.uint64)
+    monkeypatch.setattr(language_model, "frequent", lambda texts, n_parts: language_model.Frequent(empty, empty, empty))
+    for r in language_model.score_texts(table, "doc_id", "text").collect():
+        s = split[r.doc_id]
+        assert (s.n_tokens, s.n_known, s.train_tokens, round(s.base_score, 6)) == (r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6))
+        assert abs(s.score - r.score) < 0.02 * abs(r.score)
+
+
 def test_language_model_totals_are_those_of_all_parts():
     names = {0: np.array([3, 7, 2**63 + 1], np.uint64), 1: np.array([7, 2**63 + 1, 2**63 + 2], np.uint64)}
     counts = {0: np.array([5, 1, 300]), 1: np.array([2, 0, 70_000])}
@@ -309,7 +327,7 @@ def test_language_model_totals_are_those_of_all_parts():
     for k in names:
         row = {"part": k, "entries": [3], "contexts": [0, 1, 2], "customers": [1, 1, 1]}
         part = language_model.Part(row | {c: np.array(row[c], np.uint32).tobytes() for c in ("entries", "contexts", "customers")})
-        sent += language_model.messages(part, language_model.ranged(names[k], 1), {-2: names[k], 0: counts[k]}, [k + 4]).to_pylist()
+        sent += language_model.messages(part, language_model.ranged(names[k], 1), {-2: names[k], 0: counts[k]}, [k + 4], np.zeros(0, int)).to_pylist()
     table = lambda rows: pa.Table.from_pylist(rows, pa.schema([("span", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("x", pa.binary()), ("number", pa.int64())]))
     out = language_model.add_up(table([r for r in sent if r["span"] == 0])).to_pylist()
     got = {(r["part"], r["n"]): language_model.large(r["x"]).tolist() for r in out}

@@ -7,7 +7,9 @@ and the parent's current probabilities; each table sends one customer to the par
 averaged over the sweeps after the first.
 
 Spark deals all tokens out by word, so a word's customers in every context, its tables and its probability
-are together; a part is one row of a staged table. There are as many restaurants as contexts, told apart by
+are together; a part is one row of a staged table. A frequent word, which would fill a part, is dealt out by
+word and context: the parts send the sums of its customers and get its totals back. The texts of a pair of
+word and context that would still fill a part are dealt out apart from its counts. There are as many restaurants as contexts, told apart by
 the hash of the word, and their totals stay in Spark: each sweep every part sends its sums, one for each of
 its contexts, to the spans of contexts, where they are added up, and gets the totals of its own contexts
 back. A context has one sum for each part at most, so none is hot. Every sweep's seats follow from seeds and
@@ -21,11 +23,12 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_fold, id_text, parts, slices, stage
-from tidemark.llm.text import Words
+from tidemark.llm.text import Words, mix
 
 FOLDS, HELD_OUT = 5, 1
 SWEEPS, BURN_IN = 3, 1
@@ -73,54 +76,138 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word, context, np.repeat(np.arange(len(words), dtype=np.uint32), counts + 1)
 
 
-def pack_by_word(n_parts: int):
-    """Tokens of many texts as one row for each part, dealt out by ranges of the word hash: for each word its
-    contexts, for each of those the count of training tokens and the texts of all its tokens."""
+def pair_hash(word: np.ndarray, context: np.ndarray) -> np.ndarray:
+    return mix(word ^ mix(context + np.uint64(1)))
 
-    def flush(held: list) -> Iterator[pa.RecordBatch]:
+
+def found(sought: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The place of each value in a sorted table, or -1."""
+    if not len(table):
+        return np.full(len(sought), -1)
+    at = np.minimum(np.searchsorted(table, sought), len(table) - 1)
+    return np.where(table[at] == sought, at, -1)
+
+
+@dataclass
+class Frequent:
+    """Words, and pairs of word and context, of about a part's share of all tokens or more: fewer than two for
+    each part. Words are in the order of their hashes, pairs in that of the pairs' hashes."""
+
+    words: np.ndarray
+    pair_words: np.ndarray
+    pair_contexts: np.ndarray
+
+    def pairs(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """The place of each pair, or -1."""
+        at = found(pair_hash(word, context), pair_hash(self.pair_words, self.pair_contexts))
+        if not len(self.pair_words):
+            return at
+        return np.where((self.pair_words[at] == word) & (self.pair_contexts[at] == context), at, -1)
+
+    def home(self, word: np.ndarray, context: np.ndarray, n_parts: int) -> np.ndarray:
+        """The part of each pair's counts."""
+        split = found(word, self.words) >= 0
+        return np.where(split, ranged(pair_hash(word, context), n_parts), ranged(word, n_parts))
+
+
+def frequent(texts: DataFrame, n_parts: int) -> Frequent:
+    """Counted with the tokens of some texts at a time: those below a quarter of a part's share there add up to
+    a quarter at most, so whatever fills a part keeps three quarters."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            word, context, _ = tokens(batch.column("text"))
+            out = [(0, 0, 0, len(word))]
+            least = len(word) / (4 * n_parts)
+            values, times = np.unique(word, return_counts=True)
+            common = values[times >= least]
+            out += [(1, x, 0, n) for x, n in zip(common.view(np.int64).tolist(), times[times >= least].tolist(), strict=True)]
+            some = found(word, common) >= 0
+            word, context = word[some], context[some]
+            order = np.lexsort((context, word))
+            word, context = word[order], context[order]
+            if len(word):
+                starts, _ = runs(word, context)
+                times = np.diff(np.append(starts, len(word)))
+                starts, times = starts[times >= least], times[times >= least]
+                out += [(2, w, c, n) for w, c, n in zip(word[starts].view(np.int64).tolist(), context[starts].view(np.int64).tolist(), times.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), *3 * [pa.int64()]), strict=True)], ["kind", "word", "context", "times"])
+
+    counted = texts.select("text").mapInArrow(count, "kind int, word long, context long, times long")
+    counted = stage(counted.groupBy("kind", "word", "context").agg(F.sum("times").alias("times")), "frequent")
+    total = counted.where("kind = 0").agg(F.sum("times")).first()[0] or 0
+    rows = counted.where(F.col("kind") > 0).where(F.col("times") >= 0.75 * total / n_parts).collect()  # 8 / 3 for each part at most
+    of = lambda k, c: np.array([r[c] for r in rows if r.kind == k], np.int64).view(np.uint64)
+    word, context = of(2, "word"), of(2, "context")
+    order = np.argsort(pair_hash(word, context))
+    return Frequent(np.sort(of(1, "word")), word[order], context[order])
+
+
+def pack_by_word(n_parts: int, frequent: Frequent):
+    """Tokens of many texts as one row for each part, dealt out by ranges of the word hash, or of the pair's for
+    frequent words: for each word its contexts, for each of those the count of training tokens and the texts of
+    all its tokens. Of frequent pairs only the count; their texts come in a row of a part beyond ``n_parts``,
+    with the pair and the number of times for each."""
+
+    def flush(held: list, salt: int) -> Iterator[pa.RecordBatch]:
         if not held:
             return
         base = np.cumsum([0] + [len(k) for *_, k, _ in held])
         word, context = (np.concatenate([h[i] for h in held]) for i in (0, 1))
         text = np.concatenate([h[2] + np.uint32(b) for h, b in zip(held, base, strict=False)])
         keys, train = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
-        order = np.lexsort((context, word))
-        word, context, text = word[order], context[order], text[order]
+        rows = {name: [] for name in _PACKED}
+
+        def put(part: int, keys: np.ndarray, words: np.ndarray, entries: np.ndarray, contexts: np.ndarray, *more: np.ndarray) -> None:
+            values = (part, keys.tobytes(), words.tobytes(), small(entries), contexts.tobytes(), *map(small, more))
+            for name, value in zip(_PACKED, values, strict=True):
+                rows[name].append(value)
+
+        none = np.zeros(0, np.int64)
+        pair = frequent.pairs(word, context)
+        if (pair >= 0).any():
+            some = np.flatnonzero(pair >= 0)
+            learnt = np.bincount(pair[some], train[text[some]], minlength=len(frequent.pair_words)).astype(np.int64)
+            mine = np.unique(pair[some])
+            home = frequent.home(frequent.pair_words[mine], frequent.pair_contexts[mine], n_parts)
+            for k in np.unique(home).tolist():
+                here = mine[home == k]
+                put(k, none, frequent.pair_words[here], np.ones(len(here), int), frequent.pair_contexts[here], learnt[here], 0 * here, none)
+            both, times = np.unique(text[some].astype(np.int64) * len(learnt) + pair[some], return_counts=True)
+            used, local = np.unique(both // len(learnt), return_inverse=True)
+            put(n_parts + salt % n_parts, keys[used], none, both % len(learnt), none, none, times, local)
+            word, context, text = word[pair < 0], context[pair < 0], text[pair < 0]
+        at = frequent.home(word, context, n_parts)
+        order = np.lexsort((context, word, at))
+        word, context, text, at = word[order], context[order], text[order], at[order]
         starts, new_word = runs(word, context)
-        part = ranged(word[starts], n_parts)
-        customers = np.add.reduceat(train[text].astype(np.int64), starts)
+        part = at[starts]
+        new_word |= np.concatenate([[True], part[1:] != part[:-1]])[: len(part)]
+        customers = np.add.reduceat(train[text].astype(np.int64), starts) if len(starts) else none
         ends = np.append(starts[1:], len(word))
-        rows = {name: [] for name in _PACKED}
-        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else none
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             first = np.flatnonzero(new_word[a:b])
             used, local = np.unique(text[starts[a] : ends[b - 1]], return_inverse=True)
-            rows["part"].append(int(part[a]))
-            rows["keys"].append(keys[used].tobytes())
-            rows["words"].append(word[starts[a:b]][first].tobytes())
-            rows["entries"].append(small(np.diff(np.append(first, b - a))))
-            rows["contexts"].append(context[starts[a:b]].tobytes())
-            rows["customers"].append(small(customers[a:b]))
-            rows["tokens"].append(small(ends[a:b] - starts[a:b]))
-            rows["texts"].append(small(local))
+            put(int(part[a]), keys[used], word[starts[a:b]][first], np.diff(np.append(first, b - a)), context[starts[a:b]], customers[a:b], ends[a:b] - starts[a:b], local)
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if c == "part" else pa.binary()) for c, x in rows.items()], list(rows))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held, n, salt = [], 0, TaskContext.get().partitionId()
         for batch in slices(batches, "text"):
             got = tokens(batch.column("text"))
             held.append((*got, batch.column("key").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False)))
             n += len(got[0])
             if n >= PACKED_TOKENS:
-                yield from flush(held)
-                held, n = [], 0
-        yield from flush(held)
+                yield from flush(held, salt)
+                held, n, salt = [], 0, salt + 1
+        yield from flush(held, salt)
 
     return pack
 
 
 _PACKED = ("part", "keys", "words", "entries", "contexts", "customers", "tokens", "texts")
-_PART = ("part", "entries", "names", "contexts", "customers", "tokens", "texts", "keys")
+_PART = ("part", "entries", "names", "contexts", "customers", "split", "pair_at", "pairs", "tokens", "texts", "keys")
 _MESSAGE = "span int, part int, n int, x binary, number long"
 
 
@@ -130,46 +217,61 @@ def schema(names: tuple[str, ...]) -> str:
 
 def runs(word: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the runs of one word and context, and which of those runs start a word."""
-    new_word = np.concatenate([[True], word[1:] != word[:-1]])
-    starts = np.flatnonzero(new_word | np.concatenate([[True], context[1:] != context[:-1]]))
+    new_word = np.concatenate([[True], word[1:] != word[:-1]])[: len(word)]
+    starts = np.flatnonzero(new_word | np.concatenate([[True], context[1:] != context[:-1]])[: len(word)])
     return starts, new_word[starts]
 
 
-def build_part(rows: pa.Table) -> pa.Table:
+def part_builder(n_parts: int, frequent: Frequent):
     """A part's words, sorted: for each its contexts, for each of those the training count and the texts of
-    its tokens. Contexts are numbered within the part, in the order of their hashes."""
-    word, context, customers, times, text, keys, base = [], [], [], [], [], [], 0
-    for row in rows.to_pylist():
-        word.append(np.repeat(np.frombuffer(row["words"], np.uint64), large(row["entries"])))
-        context.append(np.frombuffer(row["contexts"], np.uint64))
-        customers.append(large(row["customers"]))
-        times.append(large(row["tokens"]))
-        text.append((large(row["texts"]) + base).astype(np.uint32))
-        keys.append(np.frombuffer(row["keys"], np.int64))
-        base += len(keys[-1])
-    word, context, customers, times, text = map(np.concatenate, (word, context, customers, times, text))
-    order = np.lexsort((context, word))
-    first = (np.cumsum(times) - times)[order]
-    word, context, customers, times = word[order], context[order], customers[order], times[order]
-    text = text[np.repeat(first - (np.cumsum(times) - times), times) + np.arange(len(text))]
-    starts, new_word = runs(word, context)
-    names, local = np.unique(context[starts], return_inverse=True)
-    made = {
-        "entries": small(np.bincount(np.cumsum(new_word) - 1)),
-        "names": names.tobytes(),
-        "contexts": small(local),
-        "customers": small(np.add.reduceat(customers, starts)),
-        "tokens": small(np.add.reduceat(times, starts)),
-        "texts": small(text),
-        "keys": np.concatenate(keys).tobytes(),
-    }
-    return pa.table({"part": rows.column("part").slice(0, 1)} | {c: pa.array([made[c]], pa.binary()) for c in _PART[1:]})
+    its tokens. Contexts are numbered within the part, in the order of their hashes. ``split`` is a frequent word's place, from 1 on; ``pair_at`` and ``pairs`` are the entries and
+    places of frequent pairs. A part beyond ``n_parts`` has those pairs' texts."""
+
+    def build_part(rows: pa.Table) -> pa.Table:
+        word, context, customers, times, text, keys, pairs, base = [], [], [], [], [], [], [], 0
+        spread = rows.column("part")[0].as_py() >= n_parts
+        for row in rows.to_pylist():
+            entries = large(row["entries"])
+            pairs.append(entries)
+            word.append(np.repeat(np.frombuffer(row["words"], np.uint64), 0 if spread else entries))
+            context.append(np.frombuffer(row["contexts"], np.uint64))
+            customers.append(large(row["customers"]))
+            times.append(large(row["tokens"]))
+            text.append((large(row["texts"]) + base).astype(np.uint32))
+            keys.append(np.frombuffer(row["keys"], np.int64))
+            base += len(keys[-1])
+        word, context, customers, times, text = map(np.concatenate, (word, context, customers, times, text))
+        if spread:
+            made = {"pairs": small(np.concatenate(pairs)), "tokens": small(times), "texts": small(text), "keys": np.concatenate(keys).tobytes()}
+            return pa.table({"part": rows.column("part").slice(0, 1)} | {c: pa.array([made.get(c)], pa.binary()) for c in _PART[1:]})
+        order = np.lexsort((context, word))
+        first = (np.cumsum(times) - times)[order]
+        word, context, customers, times = word[order], context[order], customers[order], times[order]
+        text = text[np.repeat(first - (np.cumsum(times) - times), times) + np.arange(len(text))]
+        starts, new_word = runs(word, context)
+        pair = frequent.pairs(word[starts], context[starts])
+        names, local = np.unique(context[starts], return_inverse=True)
+        made = {
+            "entries": small(np.bincount(np.cumsum(new_word) - 1)),
+            "names": names.tobytes(),
+            "contexts": small(local),
+            "customers": small(np.add.reduceat(customers, starts)),
+            "split": small(found(word[starts][new_word], frequent.words) + 1),
+            "pair_at": small(np.flatnonzero(pair >= 0)),
+            "pairs": small(pair[pair >= 0]),
+            "tokens": small(np.add.reduceat(times, starts)),
+            "texts": small(text),
+            "keys": np.concatenate(keys).tobytes(),
+        }
+        return pa.table({"part": rows.column("part").slice(0, 1)} | {c: pa.array([made[c]], pa.binary()) for c in _PART[1:]})
+
+    return build_part
 
 
 @dataclass
 class Totals:
-    """What all parts share: token and word counts, discounts, and each sweep's totals of the root; and, of one
-    part's contexts, the customers and each sweep's tables."""
+    """What all parts share: token and word counts, discounts, and each sweep's totals of the root and of
+    frequent words in it; and, of one part's contexts, the customers and each sweep's tables."""
 
     tokens: int = 0
     words: int = 0
@@ -179,6 +281,9 @@ class Totals:
     tables: list[np.ndarray] = field(default_factory=list)
     root_customers: list[int] = field(default_factory=list)
     root_tables: list[int] = field(default_factory=list)
+    split_counts: np.ndarray | None = None
+    split_customers: list[np.ndarray] = field(default_factory=list)
+    split_tables: list[np.ndarray] = field(default_factory=list)
 
 
 def seat(rng: np.random.Generator, customers: np.ndarray, tables: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float) -> np.ndarray:
@@ -212,15 +317,23 @@ class Part:
         self.first = np.concatenate([[0], np.cumsum(entries)[:-1]]).astype(np.int64)
         self.context, self.customers = read("contexts").astype(np.int64), read("customers").astype(np.int64)
         self.count = np.add.reduceat(self.customers, self.first)
+        self.split = large(row["split"]) - 1 if row.get("split") else np.full(len(entries), -1)
         self.row = row
 
+    def whole(self, totals: Totals, n: int, tables: np.ndarray, in_root: np.ndarray, root_tables: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The seats after ``n`` sweeps with the totals, if known, of words that other parts hold too."""
+        some = self.split >= 0
+        if some.any() and n < len(totals.split_customers):
+            in_root[some], root_tables[some] = (x[n][self.split[some]] for x in (totals.split_customers, totals.split_tables))
+        return tables, in_root, root_tables
+
     def sweeps(self, totals: Totals) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per sweep whose totals are known, and the next: tables per entry, customers and tables per word."""
         seated = self.customers > 0
         tables = seated.astype(np.int64)
         in_root = np.add.reduceat(tables, self.first)
         root_tables = (in_root > 0).astype(np.int64)
-        yield tables, in_root, root_tables
+        yield self.whole(totals, 0, tables, in_root, root_tables)
         for n in range(len(totals.tables)):
             rng = np.random.default_rng([n, self.part])
             p = self.root_probability(totals, n, in_root, root_tables)
@@ -229,7 +342,7 @@ class Part:
             in_root = np.add.reduceat(tables, self.first)
             base = np.full(len(in_root), 1 / (totals.words + 1))
             root_tables = seat(rng, in_root, root_tables, totals.root_tables[n] - root_tables, base, totals.root_discount, ROOT_STRENGTH)
-            yield tables, in_root, root_tables
+            yield self.whole(totals, n + 1, tables, in_root, root_tables)
 
     @staticmethod
     def root_probability(totals: Totals, n: int, in_root: np.ndarray, root_tables: np.ndarray) -> np.ndarray:
@@ -266,10 +379,11 @@ def opened(rows: pa.Table, shared: Totals) -> tuple[Part, dict, Totals]:
     return Part(row), row, replace(shared, customers=by_n[0] if by_n else None, tables=by_n[1:])
 
 
-def messages(part: Part, spans: np.ndarray, arrays: dict[int, np.ndarray], numbers: list[int]) -> pa.Table:
-    """A part's arrays by context, cut at the spans, and its numbers, as rows of ``_MESSAGE``."""
+def messages(part: Part, spans: np.ndarray, arrays: dict[int, np.ndarray], numbers: list[int], split: np.ndarray) -> pa.Table:
+    """A part's arrays by context, cut at the spans, its numbers, and after them its sums of frequent words, as rows of ``_MESSAGE``."""
     edges = np.flatnonzero(np.concatenate([[True], spans[1:] != spans[:-1], [True]]))
     rows = [(-1 - i, part.part, None, None, int(x)) for i, x in enumerate(numbers)]
+    rows += [(-1 - len(numbers) - i, part.part, None, None, x) for i, x in enumerate(split.tolist()) if x]
     for n, x in arrays.items():
         rows += [(int(spans[a]), part.part, n, x[a:b].tobytes() if n == _NAMES else small(x[a:b]), None) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
@@ -312,6 +426,11 @@ def numbers_of(replies: DataFrame, count: int) -> np.ndarray:
     return out
 
 
+def by_split(part: Part, values: np.ndarray, size: int) -> np.ndarray:
+    some = part.split >= 0
+    return np.bincount(part.split[some], values[some], minlength=size).astype(np.int64)
+
+
 def by_context(part: Part, weights: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(part.context, weights, minlength=size).astype(np.int64)
 
@@ -333,49 +452,84 @@ def sweep(shared: Totals, turn: int):
         part, row, own = opened(rows, shared)
         tables, in_root, root_tables = part.last_sweep(own)
         arrays = {turn + 2: by_context(part, tables, len(own.customers))}
-        return messages(part, np.repeat(row["spans"], row["sizes"]), arrays, [in_root.sum(), root_tables.sum()])
+        mine = part.split < 0
+        split = by_split(part, in_root, len(shared.split_counts))
+        return messages(part, np.repeat(row["spans"], row["sizes"]), arrays, [in_root[mine].sum(), root_tables[mine].sum()], split)
 
     return seats
 
 
-def fit(built: DataFrame, n_spans: int) -> tuple[Totals, list[DataFrame]]:
+def fit(built: DataFrame, n_spans: int, n_split: int = 0) -> tuple[Totals, list[DataFrame]]:
     """Count the corpus and run the sweeps; discounts follow from the counts of counts.
 
     The shared totals, and for each sweep the totals of the contexts as rows for each part.
     """
-    model = built.select("part", "entries", "contexts", "customers")
+    model = built.where("entries IS NOT NULL").select("part", "entries", "contexts", "customers", "split")
 
     def counts(rows: pa.Table) -> pa.Table:
         part, row, _ = opened(rows, Totals())
         names = np.frombuffer(row["names"], np.uint64)
         tables, in_root, root_tables = part.last_sweep(Totals())
+        mine = part.split < 0
         of = lambda x, n: int((x == n).sum())
-        numbers = [part.count.sum(), (part.count > 0).sum(), of(part.customers, 1), of(part.customers, 2), of(in_root, 1), of(in_root, 2), in_root.sum(), root_tables.sum()]
+        numbers = [part.count.sum(), (part.count[mine] > 0).sum(), of(part.customers, 1), of(part.customers, 2)]
+        numbers += [of(in_root[mine], 1), of(in_root[mine], 2), in_root[mine].sum(), root_tables[mine].sum()]
         arrays = {_NAMES: names, _CUSTOMERS: by_context(part, part.customers, len(names)), 1: by_context(part, tables, len(names))}
-        return messages(part, ranged(names, n_spans), arrays, numbers)
+        split = np.concatenate([by_split(part, x, n_split) for x in (part.count, in_root)])
+        return messages(part, ranged(names, n_spans), arrays, numbers, split)
 
-    first = with_replies(built.select(*model.columns, "names"), [])
+    first = with_replies(built.where("entries IS NOT NULL").select(*model.columns, "names"), [])
     replies = [stage(first.groupBy("part").applyInArrow(counts, _MESSAGE).groupBy("span").applyInArrow(add_up, _MESSAGE), "context-totals")]
-    n = numbers_of(replies[0], 8)
-    totals = Totals(int(n[0]), int(n[1]), ney_discount(int(n[2]), int(n[3])), ney_discount(int(n[4]), int(n[5])))
-    totals.root_customers, totals.root_tables = [int(n[6])], [int(n[7])]
+    n = numbers_of(replies[0], 8 + 2 * n_split)
+    count, customers = n[8:].reshape(2, n_split)
+    tables = (customers > 0).astype(np.int64)
+    once, twice = (int(n[3 + k]) + int((customers == k).sum()) for k in (1, 2))
+    totals = Totals(int(n[0]), int(n[1] + (count > 0).sum()), ney_discount(int(n[2]), int(n[3])), ney_discount(once, twice))
+    totals.root_customers, totals.root_tables = [int(n[6] + customers.sum())], [int(n[7] + tables.sum())]
+    totals.split_counts, totals.split_customers, totals.split_tables = count, [customers], [tables]
     places = replies[0].where(f"n = {_PLACES}")
     for turn in range(SWEEPS):
         seats = sweep(totals, turn)
         sent = with_replies(model, replies).groupBy("part").applyInArrow(seats, _MESSAGE).unionByName(places)
         replies.append(stage(sent.groupBy("span").applyInArrow(add_up, _MESSAGE), "context-totals"))
-        n = numbers_of(replies[-1], 2)
-        totals.root_customers = [*totals.root_customers, int(n[0])]
-        totals.root_tables = [*totals.root_tables, int(n[1])]
+        n = numbers_of(replies[-1], 2 + n_split)
+        base = np.full(n_split, 1 / (totals.words + 1))
+        customers, others = n[2:], totals.root_tables[-1] - tables
+        tables = seat(np.random.default_rng([turn, 0, 1]), customers, tables, others, base, totals.root_discount, ROOT_STRENGTH)
+        totals = replace(
+            totals,
+            root_customers=[*totals.root_customers, int(n[0] + customers.sum())],
+            root_tables=[*totals.root_tables, int(n[1] + tables.sum())],
+            split_customers=[*totals.split_customers, customers],
+            split_tables=[*totals.split_tables, tables],
+        )
     return totals, replies
 
 
-def deal_out(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The texts with key and fold, and the staged parts of all their tokens."""
+def pair_probabilities(built: DataFrame, totals: Totals, replies: list[DataFrame], size: int) -> np.ndarray:
+    """The probability of each frequent pair, from the part that holds its counts."""
+
+    def some(rows: pa.Table) -> pa.Table:
+        part, row, own = opened(rows, totals)
+        at = large(row["pair_at"])
+        return pa.table([pa.array(large(row["pairs"]), pa.int64()), pa.array(part.probabilities(own)[at] if len(at) else [], pa.float64())], ["pair", "p"])
+
+    out = np.ones(size)
+    if size:
+        model = built.where("entries IS NOT NULL").select("part", "entries", "contexts", "customers", "split", "pair_at", "pairs")
+        for row in with_replies(model, replies).groupBy("part").applyInArrow(some, "pair long, p double").collect():  # a row for each pair
+            out[row.pair] = row.p
+    return out
+
+
+def deal_out(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Frequent]:
+    """The texts with key and fold, the staged parts of all their tokens, and the words that are split."""
     fold = crc_fold(F.col(f"`{id_col}`"), FOLDS) != HELD_OUT
     texts = id_text(docs, id_col, text_col, fold.alias("train")).withColumn("key", F.xxhash64("doc_id", "text"))
-    packed = texts.select("key", "train", "text").mapInArrow(pack_by_word(PARTS * parts(docs)), schema(_PACKED))
-    return texts, stage(packed.groupBy("part").applyInArrow(build_part, schema(_PART)), "word-parts")
+    n_parts = PARTS * parts(docs)
+    common = frequent(texts, n_parts)
+    packed = texts.select("key", "train", "text").mapInArrow(pack_by_word(n_parts, common), schema(_PACKED))
+    return texts, stage(packed.groupBy("part").applyInArrow(part_builder(n_parts, common), schema(_PART)), "word-parts"), common
 
 
 def score_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -385,20 +539,33 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     one end token; a null id counts as the empty text. Repeated rows each count as training text and each
     get their score. An empty table gives an empty result. Other columns are not read.
     """
-    texts, built = deal_out(docs, id_col, text_col)
-    totals, replies = fit(built, parts(docs))
+    texts, built, common = deal_out(docs, id_col, text_col)
+    totals, replies = fit(built, parts(docs), len(common.words))
+    pair_p = pair_probabilities(built, totals, replies, len(common.pair_words))
+    pair_count = totals.split_counts[found(common.pair_words, common.words)] if len(common.words) else np.zeros(0, np.int64)
+
+    def per_text(row: dict, count: np.ndarray, p: np.ndarray) -> pa.Table:
+        """One row per text, of the counts of the words and the probabilities of the ``tokens`` each stands for."""
+        text, keys = large(row["texts"]), np.frombuffer(row["keys"], np.int64)
+        keys, where = np.unique(keys, return_inverse=True)
+        text, times = where[text], large(row["tokens"])
+        if row["entries"] is None:  # a text and its times, else a text for each of them
+            add = lambda x: np.bincount(text, x * times, minlength=len(keys))
+        else:
+            add = lambda x: np.bincount(text, np.repeat(x, times), minlength=len(keys))
+        base = add(np.log10((count + 0.5) / (totals.tokens + 0.5 * (totals.words + 1))))
+        whole = [add(x).astype(np.int64) for x in (np.ones(len(count)), count > 0)]
+        return pa.table([pa.array(x) for x in (keys, *whole, base, add(np.log10(p)))], ["key", "n_tokens", "n_known", "base_score", "score"])
 
     def scored(rows: pa.Table) -> pa.Table:
-        """One row per text of a part."""
+        if rows.num_rows == 1 and not rows.column("entries")[0].is_valid:
+            row = rows.to_pylist()[0]
+            pair = large(row["pairs"])
+            return per_text(row, pair_count[pair], pair_p[pair])
         part, row, own = opened(rows, totals)
-        times, text, keys = large(row["tokens"]), large(row["texts"]), np.frombuffer(row["keys"], np.int64)
-        count = part.count[part.word]
-        keys, where = np.unique(keys, return_inverse=True)
-        text = where[text]
-        add = lambda x: np.bincount(text, np.repeat(x, times), minlength=len(keys))
-        base = add(np.log10((count + 0.5) / (own.tokens + 0.5 * (own.words + 1))))
-        sums = [np.bincount(text, minlength=len(keys)), add(count > 0).astype(np.int64), base, add(np.log10(part.probabilities(own)))]
-        return pa.table([pa.array(x) for x in (keys, *sums)], ["key", "n_tokens", "n_known", "base_score", "score"])
+        count, some = part.count, part.split >= 0
+        count[some] = totals.split_counts[part.split[some]]
+        return per_text(row, count[part.word], part.probabilities(own))
 
     rows = with_replies(built.drop("names"), replies).groupBy("part").applyInArrow(scored, "key long, n_tokens long, n_known long, base_score double, score double")
     sums = rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
