@@ -206,6 +206,23 @@ def test_token_files_round_trip(spark, docs, nothing, tmp_path):
     assert token_files.token_report(nothing, "doc_id", "text", path).count() == 0
 
 
+def test_token_files_are_read_by_select(docs, tmp_path, monkeypatch):
+    manifest = token_files.write_token_files(docs, "doc_id", "text", public_tokenizers.path(tokens.WORD_BPE), str(tmp_path))
+    files, folder = token_files.open_folder(str(tmp_path))
+    names = [row.file for row in manifest.collect()]
+    read = lambda: [(i, start, ids.tolist()) for name in names for i, start, ids in token_files.TokenFile(files, f"{folder}/{name}").documents()]
+
+    def whole(self):
+        raise AssertionError("all values are decoded at once")
+
+    monkeypatch.setattr(EliasFano, "values", whole)
+    want = read()
+    assert len(want) == len(TEXTS)
+    for name, value in (("BLOCK_DOCS", 2), ("READ_BYTES", 16)):
+        monkeypatch.setattr(token_files, name, value)
+        assert read() == want
+
+
 def test_elias_fano_selects_every_value():
     rng = np.random.default_rng(3)
     for values in ([], [0], [5, 5, 5], [-(2**62), 0, 2**62], np.sort(rng.integers(0, 10**9, 3000)), np.arange(700)):

@@ -30,6 +30,8 @@ MAGIC = b"TMTOKEF1"
 _FOOTER = "<QQQQB8s"
 #: Bytes of ids read at once.
 READ_BYTES = 8 << 20
+#: Documents whose offsets are decoded at once.
+BLOCK_DOCS = 4096
 
 
 def open_folder(path: str) -> tuple[fs.FileSystem, str]:
@@ -60,17 +62,20 @@ class TokenFile:
         return self.ids(self.ends.value(i - 1) if i else 0, self.ends.value(i))
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """``(doc_id, start, ids)`` of every document, in order."""
-        ends = self.ends.values()
-        names = [None] * self.n_nulls + self.doc_ids.values().tolist()
-        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        k = 0
-        while k < len(ends):
-            last = max(k, int(np.searchsorted(ends, starts[k] + READ_BYTES // self.width, side="right")) - 1)
-            block = self.ids(int(starts[k]), int(ends[last]))
-            for i in range(k, last + 1):
-                yield names[i], int(starts[i]), block[starts[i] - starts[k] : ends[i] - starts[k]]
-            k = last + 1
+        """``(doc_id, start, ids)`` of every document, in order; only one block's offsets are decoded at a time."""
+        k, start = 0, 0
+        while k < self.ends.count:
+            ends = [self.ends.value(k)]
+            while k + len(ends) < self.ends.count and len(ends) < BLOCK_DOCS:
+                end = self.ends.value(k + len(ends))
+                if end > start + READ_BYTES // self.width:
+                    break
+                ends.append(end)
+            block, first = self.ids(start, ends[-1]), start
+            for i, end in enumerate(ends, k):
+                yield None if i < self.n_nulls else self.doc_ids.value(i - self.n_nulls), start, block[start - first : end - first]
+                start = end
+            k += len(ends)
 
 
 def write_token_files(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, path: str) -> DataFrame:
