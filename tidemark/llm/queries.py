@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    conversations,
+    fill_middle,
     forest,
     language_model,
+    license_scan,
     line_dedup,
     mixing,
     near_vectors,
@@ -83,3 +86,18 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest_report(table(spark, sf_dir, "documents"), "doc_id", "text")
