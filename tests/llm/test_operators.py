@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small tables with nulls, ties, copies and clashing columns."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -155,6 +156,21 @@ def test_ids_equal_the_library(name, keeps_space):
         assert [np.frombuffer(x, np.uint32).tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize(("name", "keeps_space"), [(tokens.BYTE_BPE, True), (tokens.WORD_BPE, False)])
+def test_ids_of_random_text_equal_the_library(name, keeps_space):
+    path = public_tokenizers.path(name)
+    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path, keeps_space)
+    rng = random.Random(1)
+    units = [*"\0ab1'.  \n\n\t\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u3000\u200b\u0301é中\U0001f600", "<|endoftext|>", "<|startoftext|>", "'s", " the", "\n"]
+    for _ in range(20):
+        texts = ["".join(rng.choice(units) for _ in range(rng.randrange(25))) for _ in range(200)]
+        assert [np.frombuffer(x, np.uint32).tolist() for x in encoder.ids(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    long = " ".join(rng.choice(["ab", "İx", "12", "q\n\nr", "don't"]) for _ in range(1_300_000))  # above 4 MB
+    got = encoder.ids(pa.array([None, "x", long, "y z"]).slice(1))
+    assert [np.frombuffer(x, np.uint32).tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in ("x", long, "y z")]
+    assert encoder.ids([]) == [] and encoder.ids(["", ""]) == [b"", b""]
+
+
 def document_ids(name):
     plain = Tokenizer.from_file(public_tokenizers.path(name))
     return [(i, np.array([*plain.encode(t or "", add_special_tokens=False).ids, 1], np.uint32)) for i, t, _ in TEXTS]

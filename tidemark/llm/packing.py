@@ -78,7 +78,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window:
         end = np.array([END_ID], np.uint32).tobytes()
         for batch in slices(batches, "text"):
             owner, start, length, crc, total, ids = [], [], [], [], [], []
-            for i, raw in enumerate(encode.ids(batch.column("text").to_pylist())):
+            for i, raw in enumerate(encode.ids(batch.column("text"))):
                 raw += end
                 for a in range(0, len(raw), 4 * window):
                     piece = raw[a : a + 4 * window]

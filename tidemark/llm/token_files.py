@@ -100,7 +100,7 @@ def write_token_files(docs: DataFrame, id_col: str, text_col: str, tokenizer: st
         for batch in slices(batches, "text"):
             out = out or files.open_output_stream(posixpath.join(folder, name))
             doc_ids += batch.column("doc_id").to_pylist()
-            for raw in encode.ids(batch.column("text").to_pylist()):
+            for raw in encode.ids(batch.column("text")):
                 ids = np.frombuffer(raw + end, "<u4")
                 out.write(ids.astype("<u2").tobytes() if width == 2 else ids.tobytes())
                 lengths.append(len(ids))

@@ -1,8 +1,9 @@
-"""Token ids of whole texts by the tokenizers library, with a memory of words already encoded.
+"""Token ids of whole texts by the tokenizers library, a batch at a time in arrays.
 
-Both vocabularies cut a text into pieces that never reach across a single space between two
-non-space characters, so each stretch between such spaces encodes alone to the same ids. Stretches
-are kept in a bounded dictionary; new ones go to the library together.
+Both vocabularies cut a text into pieces that never reach across a single space or line end between two
+characters that are not white space, so a text may be cut before each of them and its stretches encoded alone.
+Arrow counts a batch's distinct stretches; only those are looked up or given to the library, many in one
+call, and numpy gathers their ids by stretch.
 """
 
 from __future__ import annotations
@@ -11,13 +12,29 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
 END_ID = 1
 MEMO_WORDS = 1_000_000
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
-_RUN = re.compile(r"\s\s")
-_LONE = re.compile(r"(?<=\S) (?=\S)")
+_SPACE = re.compile(r"\s")
 _END = "<|endoftext|>"
+_ASCII_SPACE = np.zeros(256, bool)
+_ASCII_SPACE[[*range(9, 14), *range(28, 33)]] = True
+
+
+def white_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to a white space character."""
+    space = _ASCII_SPACE[data]
+    two = np.flatnonzero(data[:-1] == 0xC2)
+    two = two[(data[two + 1] == 0x85) | (data[two + 1] == 0xA0)]
+    space[two] = space[two + 1] = True
+    three = np.flatnonzero((data[:-2] >= 0xE1) & (data[:-2] <= 0xE3))
+    if len(three):
+        code = (data[three].astype(np.int32) & 15) << 12 | (data[three + 1].astype(np.int32) & 63) << 6 | data[three + 2] & 63
+        three = three[(code == 0x1680) | ((code >= 0x2000) & (code <= 0x200A)) | np.isin(code, (0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+        space[three] = space[three + 1] = space[three + 2] = True
+    return space
 
 
 class Encoder:
@@ -38,60 +55,68 @@ class Encoder:
         self.between = "\n" if keeps_space else _END
         self.cut_id = self.encode(self.between)[0]
         self.line_end = self.encode("\n").tobytes()
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[bytes, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def stretches(self, text: str) -> list[str]:
-        """The parts of a text between safe spaces; one that begins with a line end was cut before it.
+    def stretches(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Borders of stretches in the joined texts: those of the texts, and before each space or line end that is safe.
 
-        A vocabulary that drops white space can be cut at every space and line end.
+        A vocabulary that drops white space can be cut at every one.
         """
-        if not self.keeps_space:
-            return text.replace("\n", " ").split(" ")
-        if _RUN.search(text):
-            return _LONE.split(text)
-        return text.replace("\n", " \n").split(" ")
-
-    def lead(self, stretch: str) -> str:
-        return f" {stretch}" if self.keeps_space and not stretch.startswith("\n") else stretch
-
-    def learn(self, stretches: set[str]) -> None:
-        """Encode new stretches, many in one call with a mark between them."""
-        inner, after_line_end = [], []
+        cut = np.append((data == 32) | (data == 10), False)
+        if self.keeps_space and len(data):
+            space = white_space(data)
+            cut[1:-1] &= ~space[:-1]
+            cut[:-2] &= ~space[1:]
+        cut[offsets] = True
+        return np.flatnonzero(cut)
+
+    def learn(self, stretches: list[bytes]) -> None:
+        """Encode new stretches, many in one call with a mark between them; odd ones alone."""
+        joined, bodies = [], []
         for s in stretches:
-            body = s.removeprefix("\n")
-            if not body or _END in s or "\n" in body:
-                self.memo[s] = self.encode(self.lead(s)).tobytes()
+            text = s.decode()
+            line_end = self.keeps_space and text[0] == "\n"
+            odd = self.keeps_space and (_SPACE.search(text, 1) or (text[0] not in " \n" and text[0].isspace()) or len(text) == 1 and text.isspace())
+            if odd or _END in text:
+                self.memo[s] = self.encode(text).tobytes()
             else:
-                (inner if body is s else after_line_end).append(s)
-        self.learn_joined(inner, [self.lead(s) for s in inner], b"")
-        self.learn_joined(after_line_end, [s[1:] for s in after_line_end], self.line_end)
-
-    def learn_joined(self, stretches: list[str], bodies: list[str], before: bytes, at_once: int = 2000) -> None:
-        for i in range(0, len(stretches), at_once):
+                joined.append((s, self.line_end if line_end else b""))
+                bodies.append(text[1:] if line_end else text)
+        at_once = 2000
+        for i in range(0, len(joined), at_once):
             ids = self.encode(self.between.join(bodies[i : i + at_once]))
             cut = np.flatnonzero(ids == self.cut_id)
-            some, raw = stretches[i : i + at_once], ids.tobytes()
+            some, raw = joined[i : i + at_once], ids.tobytes()
             if len(cut) != len(some) - 1:
                 raise ValueError("the mark between words was merged or taken from a word")
-            for s, a, b in zip(some, [0, *(4 * (cut + 1)).tolist()], [*(4 * cut).tolist(), len(raw)], strict=True):
+            for (s, before), a, b in zip(some, [0, *(4 * (cut + 1)).tolist()], [*(4 * cut).tolist(), len(raw)], strict=True):
                 self.memo[s] = before + raw[a:b]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without an end id."""
-        cut = [self.stretches(t) for t in texts]
-        first = [self.encode(s[0]).tobytes() if s[0] else b"" for s in cut]
+        texts = (pa.array(texts, pa.string()) if isinstance(texts, list) else texts).cast(pa.large_string())
+        n = len(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, np.int64)
+        raw = texts.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])) if offsets[-1] > offsets[0] else pa.py_buffer(b"")
+        offsets = offsets - offsets[0]
+        bounds = self.stretches(np.frombuffer(raw, np.uint8), offsets)
+        found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), raw]).dictionary_encode()
         if len(self.memo) > self.memo_words:
             self.memo = {}
-        new = set()
-        for s in cut:
-            del s[0]
-            new.update(s)
-        self.learn(new - self.memo.keys())
-        get = self.memo.__getitem__
-        return [a + b"".join(map(get, s)) for a, s in zip(first, cut, strict=True)]
+        known = found.dictionary.to_pylist()
+        self.learn([s for s in known if s not in self.memo])
+        each = [self.memo[s] for s in known]
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        flat, which = np.frombuffer(b"".join(each), np.uint32), found.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        begin = (np.cumsum(sizes) - sizes)[which] - (ends - lengths)
+        out = flat[np.repeat(begin, lengths) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        cut = (4 * np.append(0, ends)[np.searchsorted(bounds, offsets)]).tolist()
+        return [out[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
