@@ -18,7 +18,8 @@ END_ID = 1
 MEMO_WORDS = 1_000_000
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 _SPACE = re.compile(r"\s")
-_END = "<|endoftext|>"
+#: Stands between words that a vocabulary without white space encodes together; no special token, which would cost more.
+_MARK = "\0"
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[*range(9, 14), *range(28, 33)]] = True
 
@@ -52,8 +53,8 @@ class Encoder:
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # words are remembered here
         self.keeps_space, self.memo_words = keeps_space, memo_words
-        self.between = "\n" if keeps_space else _END
-        self.cut_id = self.encode(self.between)[0]
+        self.between = "\n" if keeps_space else f" {_MARK} "
+        (self.cut_id,) = self.encode(self.between)
         self.line_end = self.encode("\n").tobytes()
         self.memo: dict[bytes, bytes] = {}
 
@@ -80,7 +81,7 @@ class Encoder:
             text = s.decode()
             line_end = self.keeps_space and text[0] == "\n"
             odd = self.keeps_space and (_SPACE.search(text, 1) or (text[0] not in " \n" and text[0].isspace()) or len(text) == 1 and text.isspace())
-            if odd or _END in text:
+            if odd or _MARK in text:
                 self.memo[s] = self.encode(text).tobytes()
             else:
                 joined.append((s, self.line_end if line_end else b""))
