@@ -12,7 +12,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
-from tidemark.operators import history, joins
+from tidemark.operators import history, joins, stored
+from tidemark.session import new_shared_path, shuffle_partitions
+from tidemark.sources.stored import StoredTable
 
 KEY, CHECKED = ["o_orderkey"], ["o_orderstatus"]
 RUN_1, RUN_2, RUN_3 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)
@@ -74,9 +76,7 @@ def scd2_hard_deletes(t):
     return after_second_run(t)
 
 
-@query(
-    "i8_scd2_reappearance",
-    f"""
+REAPPEARANCE_SQL = f"""
     WITH {history_sql(True)}, h3 AS (
         SELECT * FROM h2 WHERE dbt_valid_to IS NOT NULL
         UNION ALL SELECT h.o_orderkey, h.o_orderstatus, h.dbt_valid_from,
@@ -86,16 +86,36 @@ def scd2_hard_deletes(t):
         LEFT JOIN (SELECT * FROM h2 WHERE dbt_valid_to IS NULL) h USING (o_orderkey)
         WHERE h.o_orderkey IS NULL OR v3.o_orderstatus <> h.o_orderstatus)
     SELECT *, {SCD_ID_SQL} FROM h3
-    """,
-)
+    """
+
+
+@query("i8_scd2_reappearance", REAPPEARANCE_SQL)
 def scd2_reappearance(t):
     third = versions(t)[2]
     return history.scd2_check(after_second_run(t), third, KEY, CHECKED, RUN_3)
 
 
-@query(
-    "i7_scd2_timestamp",
-    """
+def stored_runs(t, *runs):
+    """A stored history of the orders after full extracts at their times, hard deletes or not."""
+    table = StoredTable(t.spark, new_shared_path(t.spark, "orders_history"), KEY, shuffle_partitions(t.spark))
+    for extract, now, hard_deletes in runs:
+        stored.scd2_check_stored(table, extract, CHECKED, now, hard_deletes)
+    return table.read()
+
+
+@query("i6_scd2_stored", f"WITH {history_sql(False)} SELECT *, {SCD_ID_SQL} FROM h2")
+def scd2_stored(t):
+    first, second, _ = versions(t)
+    return stored_runs(t, (first, RUN_1, False), (second, RUN_2, False))
+
+
+@query("i8_scd2_stored_reappearance", REAPPEARANCE_SQL)
+def scd2_stored_reappearance(t):
+    first, second, third = versions(t)
+    return stored_runs(t, (first, RUN_1, True), (second, RUN_2, True), (third, RUN_3, True))
+
+
+TIMESTAMP_SQL = """
     WITH c AS (
         SELECT user_id, max(ts) FILTER (WHERE ts < TIMESTAMP '2024-01-10') AS t1,
                arg_max(value, (ts, event_id)) FILTER (WHERE ts < TIMESTAMP '2024-01-10') AS v1,
@@ -105,15 +125,30 @@ def scd2_reappearance(t):
         FROM c WHERE t1 IS NOT NULL
         UNION ALL SELECT user_id, t2, v2, t2, NULL FROM c WHERE t1 IS NULL OR t2 > t1)
     SELECT user_id, value, ts, dbt_valid_from, dbt_valid_to, dbt_valid_from AS dbt_updated_at FROM h
-    """,
-)
-def scd2_timestamp(t):
+    """
+
+
+def latest_events(t):
+    """The last event per user before a day, and of all."""
     from tidemark.operators.aggregates import last_values
 
     events = t("events")
     columns = (["user_id"], ["ts", "event_id"], ["ts", "value"])
-    first = last_values(events.where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")), *columns)
-    second = last_values(events, *columns)
+    early = events.where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    return last_values(early, *columns), last_values(events, *columns)
+
+
+@query("i7_scd2_timestamp_stored", TIMESTAMP_SQL)
+def scd2_timestamp_stored(t):
+    table = StoredTable(t.spark, new_shared_path(t.spark, "users_history"), ["user_id"], shuffle_partitions(t.spark))
+    for extract in latest_events(t):
+        stored.scd2_timestamp_stored(table, extract, "ts", RUN_2)
+    return table.read().drop("dbt_scd_id")
+
+
+@query("i7_scd2_timestamp", TIMESTAMP_SQL)
+def scd2_timestamp(t):
+    first, second = latest_events(t)
     stored = history.first_snapshot(first, ["user_id"], F.col("ts"))
     merged = history.scd2_timestamp(stored, second, ["user_id"], "ts", RUN_2)
     # The id hashes the text of a time with microseconds, which engines write differently.

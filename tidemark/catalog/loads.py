@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
-from tidemark.operators import incremental, loading, relations, shaping
-from tidemark.session import new_shared_path
+from tidemark.operators import incremental, loading, relations, shaping, stored
+from tidemark.session import new_shared_path, shuffle_partitions
 from tidemark.sources import writers
 from tidemark.sources.layouts import BENCH_TABLES
+from tidemark.sources.stored import StoredTable
 from tidemark.streaming import drivers
 
 
@@ -19,13 +20,12 @@ def declared_table(t):
 
 @query(
     "s3_materialise_table",
-    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
 )
 def materialise_table(t):
-    path = new_shared_path(t.spark, "orders_finished")
+    path = new_shared_path(t.spark, "orders_stored")
     writers.replace_table(t("orders").select("o_orderkey", "o_custkey"), path)
-    finished = t("orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_totalprice")
-    writers.replace_table(finished, path)
+    writers.replace_table(t("orders").select("o_orderkey", "o_custkey", "o_totalprice"), path)
     return writers.read_table(t.spark, path)
 
 
@@ -38,9 +38,7 @@ def materialise_view(t):
     return writers.as_view(per_user, "events_per_user")
 
 
-@query(
-    "s5_merge_upsert",
-    """
+MERGE_SQL = """
     WITH u AS (
         SELECT o_orderkey, o_custkey, 'O' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 1 AS seq
         FROM orders WHERE o_orderstatus = 'P'
@@ -50,9 +48,10 @@ def materialise_view(t):
         FROM orders WHERE o_orderpriority = '1-URGENT')
     SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM u)
     UNION ALL SELECT * EXCLUDE (seq) FROM u WHERE seq = 2 OR o_orderkey < 0
-    """,
-)
-def merge_upsert(t):
+    """
+
+
+def order_updates(t):
     orders = t("orders")
     pending = orders.where("o_orderstatus = 'P'")
     first = pending.withColumn("o_orderstatus", F.lit("O")).withColumn("seq", F.lit(1))
@@ -63,16 +62,38 @@ def merge_upsert(t):
     )
     urgent = orders.where("o_orderpriority = '1-URGENT'")
     added = urgent.withColumn("o_orderkey", F.lit(-1) - F.col("o_orderkey")).withColumn("seq", F.lit(1))
-    return loading.merge_upsert(orders, first.unionByName(second).unionByName(added), ["o_orderkey"], ["seq"])
+    return first.unionByName(second).unionByName(added)
 
 
-@query(
-    "s6_append",
-    """
+@query("s5_merge_upsert", MERGE_SQL)
+def merge_upsert(t):
+    return loading.merge_upsert(t("orders"), order_updates(t), ["o_orderkey"], ["seq"])
+
+
+@query("s5_merge_stored", MERGE_SQL)
+def merge_stored(t):
+    table = StoredTable(t.spark, new_shared_path(t.spark, "orders_merged"), ["o_orderkey"], shuffle_partitions(t.spark))
+    stored.merge_stored(table, t("orders"), ["o_orderkey"])
+    stored.merge_stored(table, order_updates(t), ["seq"])
+    return table.read()
+
+
+APPEND_SQL = """
     SELECT event_id, ts, user_id, NULL::DOUBLE AS value FROM events WHERE ts < TIMESTAMP '2024-01-16'
     UNION ALL SELECT event_id, ts, user_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-16'
-    """,
-)
+    """
+
+
+@query("s6_append_commits", APPEND_SQL)
+def append_commits(t):
+    path = new_shared_path(t.spark, "events_appended")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    writers.append_table(t("events").where(F.col("ts") < cut).select("event_id", "ts", "user_id"), path)
+    writers.append_table(t("events").where(F.col("ts") >= cut).select("event_id", "ts", "user_id", "value"), path)
+    return writers.read_table(t.spark, path)
+
+
+@query("s6_append", APPEND_SQL)
 def append(t):
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     stored = t("events").where(F.col("ts") < cut).select("event_id", "ts", "user_id")
@@ -82,13 +103,12 @@ def append(t):
 @query(
     "s7_replace",
     """
-    SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-    FROM orders WHERE o_orderstatus = 'O'
+    SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
     """,
 )
 def replace(t):
     orders = t("orders")
-    return loading.replace_rows(orders, orders.where("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("F")))
+    return loading.replace_rows(orders, orders.withColumn("o_orderstatus", F.lit("F")))
 
 
 @query(
@@ -286,7 +306,7 @@ def append_stream(t):
     path = new_shared_path(t.spark, "events_copy")
     stream = drivers.file_stream(t.spark, t.folder, BENCH_TABLES["events"], "events.parquet")
     drivers.append_stream(stream, f"{path}/table", f"{path}/checkpoint")
-    return t.spark.read.schema(stream.schema).parquet(f"{path}/table")
+    return writers.read_table(t.spark, f"{path}/table")
 
 
 @query(
@@ -303,4 +323,4 @@ def seen_key_stream(t):
     stream = drivers.file_stream(t.spark, t.folder, BENCH_TABLES["events"], "events.parquet")
     key = composite_key("user_id", "event_type")
     drivers.new_keys_stream(stream, key, "seen_key", ["event_id"], f"{path}/table", f"{path}/checkpoint")
-    return t.spark.read.parquet(f"{path}/table").select("seen_key", "event_id")
+    return writers.read_table(t.spark, f"{path}/table").select("seen_key", "event_id")

@@ -68,22 +68,18 @@ def _opened(rows: DataFrame, keys: Sequence[str], updated_at: Column) -> DataFra
     )
 
 
-def _merge(
-    history: DataFrame,
-    current: DataFrame,
-    keys: Sequence[str],
-    changed: Column,
-    updated_at: Column,
-    now: Column,
-    hard_deletes: bool,
-) -> DataFrame:
-    """One full outer join, whose pairs emit the kept or closed row and the opened one."""
-    columns = current.columns
-    old = open_rows(history).withColumn("_stored", F.lit(True)).alias("old")
+def _pairs(old: DataFrame | None, current: DataFrame, keys: Sequence[str], updated_at: Column) -> DataFrame:
+    """Open rows (``old``) and rows that would be opened (``new``), one full outer join on unique keys."""
     new = _opened(current, keys, updated_at).withColumn("_found", F.lit(True)).alias("new")
+    if old is None:
+        old = current.sparkSession.createDataFrame([], new.drop("_found").schema)
+    old = old.withColumn("_stored", F.lit(True)).alias("old")
     same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
-    pairs = old.join(new, same, "full_outer")
+    return old.join(new, same, "full_outer")
 
+
+def _records(pairs: DataFrame, columns: Sequence[str], changed: Column, now: Column, hard_deletes: bool, only_changes: bool) -> DataFrame:
+    """Each pair's stored row, closed or kept, and the row it opens; of kept rows none if only changes are wanted."""
     stored, found = F.col("old._stored").isNotNull(), F.col("new._found").isNotNull()
     is_change = stored & found & F.coalesce(changed, F.lit(False))
     end = F.when(is_change, F.col("new.dbt_valid_from"))
@@ -94,13 +90,39 @@ def _merge(
         fields = [F.col(f"{side}.{c}").alias(c) for c in (*columns, *SCD_COLUMNS[:-1])]
         return F.struct(*fields, valid_to.cast("timestamp_ntz").alias("dbt_valid_to"))
 
-    kept = F.when(stored, record("old", end))
+    kept = F.when(stored & end.isNotNull() if only_changes else stored, record("old", end))
     opened = F.when(found & (is_change | ~stored), record("new", F.lit(None)))
-    rows = pairs.select(F.explode(F.array_compact(F.array(kept, opened))).alias("_row")).select("_row.*")
-    closed = history.where(F.col("dbt_valid_to").isNotNull()).select(*columns, *SCD_COLUMNS)
+    return pairs.select(F.explode(F.array_compact(F.array(kept, opened))).alias("_row")).select("_row.*")
+
+
+def _merge(
+    history: DataFrame,
+    current: DataFrame,
+    keys: Sequence[str],
+    changed: Column,
+    updated_at: Column,
+    now: Column,
+    hard_deletes: bool,
+) -> DataFrame:
+    """One full outer join, whose pairs emit the kept or closed row and the opened one."""
+    rows = _records(_pairs(open_rows(history), current, keys, updated_at), current.columns, changed, now, hard_deletes, False)
+    closed = history.where(F.col("dbt_valid_to").isNotNull()).select(*current.columns, *SCD_COLUMNS)
     return closed.unionByName(rows)
 
 
+def scd2_changes(
+    opened: DataFrame | None,
+    current: DataFrame,
+    keys: Sequence[str],
+    changed: Column,
+    updated_at: Column,
+    now: Column,
+    hard_deletes: bool,
+) -> DataFrame:
+    """Only what a run changes in the open rows: rows it closes (``dbt_valid_to`` set) and rows it opens."""
+    return _records(_pairs(opened, current, keys, updated_at), current.columns, changed, now, hard_deletes, True)
+
+
 def as_of(history: DataFrame, when: dt.datetime) -> DataFrame:
     """The rows valid at one moment."""
     t = instant(when)

@@ -1,62 +1,34 @@
 """Materialising results as tables and views.
 
-A table is a folder of complete versions. A run writes a new version and readers
-take the newest complete one, so a plan never overwrites what it reads and a job
-that is lost half-way leaves the last version in place.
+A table is a folder with a commit log (:mod:`tidemark.sources.stored`). A run writes files of its own and names them
+in one entry, so a plan never overwrites what it reads, and a job that is lost half-way leaves the table as it was.
 """
 
 from __future__ import annotations
 
-import os
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-_VERSION = re.compile(r"v(\d+)$")
+from tidemark.sources.stored import StoredTable
 
 
-def _versions(spark: SparkSession, table: str) -> list[tuple[int, str]]:
-    """Complete versions, oldest first, as the file system of the table reports them."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    found = []
-    for status in fs.listStatus(path):
-        match = _VERSION.search(status.getPath().getName())
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if match and fs.exists(done):
-            found.append((int(match.group(1)), status.getPath().toString()))
-    return sorted(found)
+def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
+    """Make ``df`` the table's content and return the commit's number."""
+    return StoredTable(df.sparkSession, table, partition_by=partition_by).replace(df)
 
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as the next version of the table and return its path."""
-    spark = df.sparkSession
-    newest = max((n for n, _ in _versions(spark, table)), default=0)
-    path = os.path.join(table, f"v{newest + 1:06d}")
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return path
-
-
-def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> str:
-    """Add rows to the newest version, creating the table when there is none."""
-    versions = _versions(df.sparkSession, table)
-    path = versions[-1][1] if versions else os.path.join(table, "v000001")
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
-    return path
+def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
+    """Add rows in one commit, creating the table when there is none; readers see all of them or none."""
+    return StoredTable(df.sparkSession, table, partition_by=partition_by).append(df)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    versions = _versions(spark, table)
-    if not versions:
-        raise FileNotFoundError(f"no complete version of {table}")
-    return spark.read.parquet(versions[-1][1])
+    return StoredTable(spark, table).read()
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    return bool(_versions(spark, table))
+    return StoredTable(spark, table).exists()
 
 
 def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:

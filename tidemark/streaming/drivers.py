@@ -1,23 +1,24 @@
 """File streams that run until the available input is used up.
 
-Sinks are keyed by batch number: a batch that is repeated after a failure
-overwrites its own output and does not add rows twice.
+Targets are stored tables. Each batch is one commit that carries the stream's own id and the batch number, so a batch
+repeated after a failure adds nothing, and the batches of another stream are never mistaken for it. The commit also
+names the input files it has used, so a stream that starts anew over an old target skips them.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.joins import missing_rows
 from tidemark.operators.loading import pick_per_key
 from tidemark.sources.layouts import layout
+from tidemark.sources.stored import StoredTable
 
-BATCH = "batch_id"
+SOURCE_FILE = "_source_file"
 
 
 def file_stream(spark: SparkSession, path: str, ddl: str, pattern: str = "*.parquet", files_per_batch: int = 0) -> DataFrame:
@@ -29,49 +30,58 @@ def file_stream(spark: SparkSession, path: str, ddl: str, pattern: str = "*.parq
 
 
 def append_stream(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Append every new row to ``target`` and stop when the input is used up."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .outputMode("append")
-        .start(target)
-    )
-    query.awaitTermination()
-
-
-def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Apply a batch function to each micro-batch until the input is used up."""
-    query = (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    """Append every new row to the table ``target`` and stop when the input is used up."""
+    commit_batches(stream, lambda batch, table: batch, target, checkpoint)
 
 
 def new_keys_stream(stream: DataFrame, key: Column, name: str, order: list[str], target: str, checkpoint: str) -> None:
     """Keep the first row of each key never seen before.
 
     The keys seen are the stored table itself, joined in per batch, so no state
-    grows in memory. Only keys of other batches count, which makes a repeated
-    batch give the same rows.
+    grows in memory.
     """
 
+    def unseen(batch: DataFrame, table: StoredTable) -> DataFrame:
+        fresh = pick_per_key(batch.withColumn(name, key), [name], *[F.col(c) for c in order])
+        return missing_rows(fresh, table.read(), [name]) if table.exists() else fresh
+
+    commit_batches(stream, unseen, target, checkpoint)
+
+
+def commit_batches(stream: DataFrame, rows: Callable[[DataFrame, StoredTable], DataFrame], target: str, checkpoint: str) -> None:
+    """Append ``rows(batch, table)`` of each micro-batch to the table ``target``, exactly once.
+
+    Input files are told apart by path and time of change. A stream that does not read files directly has none to tell,
+    and then only its own batches are known again.
+    """
+    changed = F.col("_metadata.file_modification_time").cast("timestamp").cast("double").cast("string")
+    try:
+        stream = stream.withColumn(SOURCE_FILE, F.concat_ws("@", "_metadata.file_path", changed))
+    except AnalysisException:
+        stream = stream.withColumn(SOURCE_FILE, F.lit(None).cast("string"))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        keyed = batch.withColumn(name, key)
-        fresh = pick_per_key(keyed, [name], *[F.col(c) for c in order])
-        if path_exists(spark, target):
-            fields = [*keyed.schema.fields, T.StructField(BATCH, T.LongType())]
-            stored = spark.read.schema(T.StructType(fields)).parquet(target)
-            fresh = missing_rows(fresh, stored.where(F.col(BATCH) != batch_id), [name])
-        fresh.write.mode("overwrite").parquet(os.path.join(target, f"{BATCH}={batch_id}"))
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        table = StoredTable(spark, target)
+        state = table.state()
+        if state.batches.get(stream_id, -1) >= batch_id:
+            return
+        # one row for each input file of the batch
+        used = {r[0] for r in batch.select(SOURCE_FILE).distinct().collect()} - {None}
+        if known := used & state.sources:
+            batch = batch.where(F.col(SOURCE_FILE).isNull() | ~F.col(SOURCE_FILE).isin(sorted(known)))
+        table.append(rows(batch.drop(SOURCE_FILE), table), stream_id, batch_id, used - state.sources)
 
     run_batches(stream, handle, checkpoint)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Apply a batch function to each micro-batch until the input is used up."""
+    query = (
+        stream.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
