@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import joins, quality, windows
+from tidemark.operators import combinations, joins, quality, windows
 from tidemark.operators.sizing import fits_broadcast, measured_bytes
 from tidemark.operators.skew import SALT, SLICE, hot_keys, repeat_per_salt, salt_rows, slice_hot_keys
 
@@ -149,6 +149,36 @@ def test_star_fanout_equals_left_joins(spark, rows):
     assert got.where("k = 'hot'").count() == 40 * 12 * 2
 
 
+def test_hierarchy_is_decoded_in_ranges(spark, rows, monkeypatch):
+    monkeypatch.setattr(combinations, "RANKS_AT_ONCE", 100)
+    df = spark.createDataFrame([("g", f"v{i}", "n") for i in range(7)] + [("h", "x", "n"), ("g", None, "n"), (None, "y", "n")], "g string, v string, n string")
+    names = ["v", *[f"v{i}" for i in range(2, 6)]]
+    got = joins.hierarchy(df, "g", "v", 5)
+    want = [("g", *p) for p in orderings([f"v{i}" for i in range(7)], 5)]
+    want += [("h", "x", *[None] * 4), ("g", *[None] * 5), (None, "y", *[None] * 4)]
+    assert rows(got) == sorted(want, key=repr)
+    assert sorted(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())[-1] < 0.4 * len(want)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    carried = joins.hierarchy(df, "g", "v", 5, carry=["n"])
+    assert rows(carried, "g", *names) == sorted(want, key=repr) and carried.columns == ["g", "n", *names]
+
+
+def test_hot_child_in_one_partition_spreads(spark, rows):
+    spine = spark.createDataFrame([("hot",), ("cold",), ("none",)], "k string")
+    one_place = spark.range(0, 3000, 1, 1).select(F.lit("hot").alias("k"), F.col("id").alias("v")).union(spark.sql("SELECT 'cold', 5L"))
+    equal = spark.range(0, 40, 1, 1).select(F.lit("hot").alias("k"), F.lit("same").alias("v"))
+    got = joins.star_fanout(spine, "k", {"a": (one_place, "k", "v"), "b": (equal, "k", "v")})
+    want = [("hot", i, "same") for i in range(3000) for _ in range(40)] + [("cold", 5, None), ("none", None, None)]
+    assert rows(got) == sorted(want, key=repr)
+    per_task = sorted(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())
+    assert len(per_task) > 4 and per_task[-1] < 0.45 * len(want)
+    # copies of one row are cut as well
+    copies = spark.range(0, 4000, 1, 1).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    got = joins.star_fanout(spine, "k", {"a": (copies, "k", "v"), "b": (equal, "k", "v")})
+    assert got.where("k = 'hot'").count() == 160_000
+    assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) < 80_000
+
+
 def test_salts_spread_rows_that_lie_together(spark):
     together = skewed(spark).repartition(8, "k")
     salted = salt_rows(together, hot_keys(together, ["k"]), ["k"]).where("k = 1")

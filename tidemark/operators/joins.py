@@ -1,19 +1,22 @@
-"""Lookup, star, spine and hierarchy joins."""
+"""Lookup and spine joins; star and hierarchy combinations come from :mod:`tidemark.operators.combinations`."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import explode_days
 from tidemark.functions.keys import all_true
+from tidemark.operators.combinations import hierarchy, star_fanout
 from tidemark.operators.relations import inline_rows
 from tidemark.operators.sizing import fits_broadcast, one_task_reads
-from tidemark.operators.skew import SALT, hot_keys, mark_hot, repeat_per_salt, salt_rows
-from tidemark.session import shuffle_partitions
+from tidemark.operators.skew import SALT, hot_keys, repeat_per_salt, salt_rows
+
+__all__ = [
+    "aggregate_lookup", "constant_lookup", "date_spine_join", "fanout_report", "hierarchy", "join_child", "lookup_join", "missing_rows", "star_fanout",
+]
 
 LOOKUP_JOINS = ("left", "inner", "left_semi", "left_anti")
 
@@ -88,93 +91,6 @@ def missing_rows(wanted: DataFrame, present: DataFrame, keys: Sequence[str]) ->
     return wanted.join(present.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def star_fanout(spine: DataFrame, key: str, children: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
-    """All combinations of each spine key's child values.
-
-    ``children`` maps an output column to (child, key column, value column). A spine
-    key without rows in a child gets NULL there. Spine keys are unique and not NULL.
-
-    All joins share one partitioning, so the spine is shuffled once. A key whose
-    combinations exceed an average partition is split along its largest child: that
-    child's rows are spread over salts, the other rows repeated for each.
-    """
-    names = list(children)
-    sides = [
-        df.select(F.col(child_key).alias("_key"), F.col(value).alias(name), F.lit(True).alias("_has"))
-        for name, (df, child_key, value) in children.items()
-    ]
-    keyed = reduce(DataFrame.union, [s.select("_key", F.lit(i).alias("_side")) for i, s in enumerate(sides)])
-    sizes = [F.greatest(F.col(f"_n{i}"), F.lit(1)) for i in range(len(sides))]
-    counted = keyed.groupBy("_key").agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(sides))])
-    combinations = reduce(lambda a, b: a * b, [s.cast("double") for s in sizes])
-    widest = F.greatest(*sizes, F.lit(1))
-    split_at = F.coalesce(*[F.when(F.col(f"_n{i}") == widest, F.lit(i)) for i in range(len(sides))])
-    hot = hot_keys(counted, ["_key"], F.max(split_at).alias("_split"), weight=combinations)
-
-    # A fixed partition count keeps AQE from merging partitions whose rows are about to multiply.
-    parts = shuffle_partitions(spine.sparkSession)
-    result = spine.select(F.col(key).alias("_key"))
-    if hot is None:
-        result = result.repartition(parts, "_key")
-        for name, side in zip(names, sides):
-            result = result.join(side.drop("_has"), "_key", "left")
-        return result.select(F.col("_key").alias(key), *names)
-
-    all_salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    own_salt = F.array(F.pmod(F.spark_partition_id(), F.col("_salts")))
-    result = mark_hot(result, hot, ["_key"]).withColumn(SALT, F.explode(all_salts)).drop("_salts")
-    result = result.repartition(parts, "_key", SALT)
-    for i, (name, side) in enumerate(zip(names, sides)):
-        salts = F.when(F.col("_split") == i, own_salt).otherwise(all_salts)
-        salted = mark_hot(side, hot, ["_key"]).withColumn(SALT, F.explode(salts)).drop("_salts", "_split")
-        # The split child has rows for its hot keys, so a salt without any adds no row.
-        empty_salt = (F.col("_split") == i) & F.col("_has").isNull()
-        result = (
-            result.join(salted, ["_key", SALT], "left").where(~F.coalesce(empty_salt, F.lit(False))).drop("_has")
-        )
-    return result.select(F.col("_key").alias(key), *names)
-
-
-def hierarchy(df: DataFrame, group: str, value: str, depth: int = 7, carry: Sequence[str] = ()) -> DataFrame:
-    """Every ordering of a group's distinct values, ``depth`` columns wide.
-
-    Column ``value`` is followed by ``value2``, ``value3`` and so on. A level is NULL
-    once the group has no unused value left, and stays NULL from there on. A group
-    of k values gives k!/(k-depth)! rows, or k! when k is not above the depth.
-    ``carry`` names columns to take along from the row of the first value.
-
-    All levels join on one partitioning. Groups with more orderings than an average
-    partition are split by their first value, each part seeing all the group's values.
-    """
-    starts = df.select(F.col(group).alias("_group"), F.col(value).alias(value), *carry).distinct()
-    values = starts.select("_group", F.col(value).alias("_value")).where("_group is not null and _value is not null")
-    pool = values.distinct() if carry else values
-    sizes = pool.groupBy("_group").agg(F.count(F.lit(1)).alias("_k"))
-    orderings = reduce(
-        lambda a, b: a * b, [F.greatest(F.col("_k") - i, F.lit(1)).cast("double") for i in range(depth)]
-    )
-    hot = hot_keys(sizes, ["_group"], weight=orderings)
-    out, salted = starts, hot is not None
-    if salted:
-        salt = F.coalesce(F.pmod(F.xxhash64(value), F.col("_salts")).cast("int"), F.lit(0))
-        out = mark_hot(starts, hot, ["_group"]).withColumn(SALT, salt).drop("_salts")
-        pool = repeat_per_salt(pool, hot, ["_group"])
-    # A fixed partition count keeps AQE from merging partitions whose rows are about to multiply.
-    together = ["_group", SALT] if salted else ["_group"]
-    out = out.repartition(shuffle_partitions(df.sparkSession), *together)
-    taken = [value]
-    for level in range(2, depth + 1):
-        name = f"{value}{level}"
-        step = pool.withColumnsRenamed({"_group": "_group_r", SALT: "_salt_r", "_value": name})
-        same = F.col("_group") == F.col("_group_r")
-        if salted:
-            same = same & (F.col(SALT) == F.col("_salt_r"))
-        unused = all_true([F.col(name) != F.col(t) for t in taken])  # NULL once a level is NULL
-        out = out.join(step, same & unused, "left").drop("_group_r", "_salt_r")
-        taken.append(name)
-    return out.select(F.col("_group").alias(group), *carry, *taken)
-
-
 def fanout_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one row, to be read before a join that would multiply."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
