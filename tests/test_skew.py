@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import combinations, joins, quality, windows
-from tidemark.operators.sizing import fits_broadcast, measured_bytes
+from tidemark.operators import combinations, joins, ordering, quality, windows
+from tidemark.operators.sizing import fits_broadcast, groups_fit_broadcast, measured_bytes
 from tidemark.operators.skew import SALT, SLICE, hot_keys, repeat_per_salt, salt_rows, slice_hot_keys
 
 pytestmark = pytest.mark.usefixtures("treat_as_large")
@@ -179,6 +179,73 @@ def test_hot_child_in_one_partition_spreads(spark, rows):
     assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) < 80_000
 
 
+def test_few_groups_of_many_rows_are_broadcast(spark, rows):
+    df = spark.range(0, 20_000, 1, 4).select((F.col("id") % 10).alias("k"), F.concat(F.lit("name"), F.col("id") % 3).alias("s"), F.col("id").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        got = windows.partition_values(df, ["k", "s"], spread=F.max("v") - F.min("v"), n=F.count("v"))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        many = windows.partition_values(df.withColumn("k", F.col("v")), ["k"], n=F.count("v"), text=F.max("s"))
+        assert many.where("n = 1").count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    whole = Window.partitionBy("k", "s")
+    assert rows(got) == rows(df.withColumn("spread", F.max("v").over(whole) - F.min("v").over(whole)).withColumn("n", F.count("v").over(whole)))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Sort [" not in plan
+
+
+def test_groups_beyond_the_limit_are_not_broadcast(spark):
+    df = spark.range(200_000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("s"))
+    counted = df.groupBy("k").count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        assert not groups_fit_broadcast(df, ["k"], counted)
+        assert groups_fit_broadcast(df.where("k < 9000"), ["k"], counted)
+        assert not groups_fit_broadcast(df.where("k < 20000"), ["s"], df.groupBy("s").count())
+        assert not groups_fit_broadcast(df, ["k"], df.groupBy("k").agg(F.max("s")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_peers_of_one_instant_fill_no_window(spark, rows, treat_as_large):
+    df = spark.createDataFrame([(k, t, i, float(i * 7 % 11)) for i, (k, t) in enumerate([("a", 1)] * 40 + [("a", 2), ("b", None), ("b", None), (None, 3), (None, 3), ("b", 4)])], "k string, t int, i int, v double")
+    got = windows.with_peer_last(df, "last", "v", ["k"], "t", "i")
+    want = df.withColumn("last", F.max_by("v", "i").over(Window.partitionBy("k", "t")))
+    assert rows(got) == rows(want)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def small_splits(spark, treat_as_large):
+    """Large for the size checks, while written files are still read in a few splits."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+
+
+@pytest.mark.parametrize("with_used", [True, False])
+def test_quota_by_ranges_equals_ranks(spark, rows, small_splits, with_used):
+    hot = F.when(F.col("id") % 3 == 0, F.lit(None).cast("int")).when(F.col("id") % 3 == 1, 1).otherwise((F.col("id") % 7).cast("int"))
+    df = spark.range(0, 12_000, 1, 6).select(hot.alias("day"), F.pmod(F.xxhash64("id"), F.lit(50)).alias("t"), F.col("id").alias("i"))
+    used = spark.createDataFrame([(1, 1500), (2, 9999), (3, -3)], "day int, used int") if with_used else None
+    got = ordering.quota_by_ranges(df, "day", ["t", F.col("i").desc()], 2000, used)
+    rank = F.row_number().over(Window.partitionBy("day").orderBy("t", F.col("i").desc()))
+    want = df.withColumn("r", rank)
+    if with_used:
+        want = want.join(used, "day", "left").withColumn("r", F.col("r") + F.coalesce("used", F.lit(0)))
+    assert rows(got) == rows(want.where("r <= 2000"), *df.columns) and got.columns == df.columns
+    # all orders equal: ranges still split the day
+    same = ordering.quota_by_ranges(df.withColumn("t", F.lit(1)), "day", ["t"], 2000)
+    assert rows(same.groupBy("day").count()) == rows(df.groupBy("day").count().select("day", F.least("count", F.lit(2000))))
+
+
+def test_large_quotas_take_ranges(spark, rows, small_splits):
+    df = spark.range(0, 5000, 1, 4).select(F.lit("d").alias("day"), "id")
+    got = ordering.quota_cap(df, "day", ["id"], 3000)
+    assert rows(got, "id") == rows(spark.range(3000)) and "_range" in got._jdf.queryExecution().analyzed().toString()
+    assert ordering.quota_cap(df, "day", ["id"], 30).count() == 30
+
+
 def test_salts_spread_rows_that_lie_together(spark):
     together = skewed(spark).repartition(8, "k")
     salted = salt_rows(together, hot_keys(together, ["k"]), ["k"]).where("k = 1")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import composite_key
+from tidemark.operators.shaping import element_set_records
 from tidemark.session import new_shared_path, shared_dir
 from tidemark.sources import readers, writers
 from tidemark.sources.layouts import BENCH_TABLES, SOURCE_TABLES, source_layout
@@ -94,6 +95,25 @@ def test_element_sets_from_files(spark, tmp_path, rows):
     assert rows(got, "satellite_name", "satellite_id") == [("SAT A", 11), ("SAT B", 12), ("SAT C", 13)]
 
 
+def test_element_sets_of_split_files(spark, tmp_path, rows):
+    body = "".join(f"SAT {i} {'x' * (i % 40)}\r\n1 {i % 100000:05d}U {'y' * (i % 9)}\n2 z\n" for i in range(4000))
+    texts = {"a.txt": "\n \n  " + body + " \n\n", "b.txt": "", "c.txt": " \n", "d.txt": "ONE\n1 00007U\n2 t  \nleft\nover"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    whole = spark.read.text(str(tmp_path), wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    want = element_set_records(whole, "value")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        got = readers.read_element_sets(spark, str(tmp_path))
+        lines = readers.read_numbered_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 5
+        first = [r.line for r in lines.where("file LIKE '%a.txt'").orderBy("line_no").collect()]
+        assert first == texts["a.txt"].replace("\r\n", "\n").split("\n")[:-1]
+        assert rows(got, *want.columns) == rows(want) and got.count() == 4001
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_source_round_trip(spark, tmp_path):
     schema = source_layout("geo", "geo_cities")
     spark.createDataFrame([(1, "Perth", -31.9, 115.8, "AU", "Australia", "WA", "08", "OC")], schema).write.parquet(str(tmp_path / "geo/geo_cities"))

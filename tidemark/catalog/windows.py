@@ -40,8 +40,8 @@ def partition_spread(t):
 )
 def running_last_minus_first(t):
     rows = windows.partition_values(_events(t), ["event_type"], _first=windows.first_value("value", ORDER))
-    running = windows.peer_last("value", ["event_type"], "ts", "event_id")
-    return rows.select("event_id", round_ieee(running - F.col("_first")).alias("movement"))
+    rows = windows.with_peer_last(rows, "_last", "value", ["event_type"], "ts", "event_id")
+    return rows.select("event_id", round_ieee(F.col("_last") - F.col("_first")).alias("movement"))
 
 
 @query(

@@ -116,7 +116,11 @@ def stride_records(df: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
 
 def element_set_records(df: DataFrame, text: str) -> DataFrame:
     """Three-line element sets: name, two data lines and the catalogue number in the first of them."""
-    rows = stride_records(df, text, ["satellite_name", "tle_line1", "tle_line2"])
+    return element_set_columns(stride_records(df, text, ["satellite_name", "tle_line1", "tle_line2"]))
+
+
+def element_set_columns(rows: DataFrame) -> DataFrame:
+    """Records of three lines with a clean name and their catalogue number."""
     number = to_integer(F.substring("tle_line1", 3, 5), "bigint")
     return rows.withColumn("satellite_name", F.trim("satellite_name")).withColumn("satellite_id", number)
 

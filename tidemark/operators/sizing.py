@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,32 @@ def scanned_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def row_width(df: DataFrame) -> int | None:
+    """Bytes of a row whose columns all have a fixed size, else None."""
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    return 8 + 16 * len(df.schema) if all(isinstance(f.dataType, fixed) for f in df.schema.fields) else None
+
+
+#: Relative error of the sketch of keys, and the room left for it.
+SKETCH_ERROR, SKETCH_ROOM = 0.02, 1.2
+
+
+def groups_fit_broadcast(df: DataFrame, keys: Sequence[str], grouped: DataFrame) -> bool:
+    """True when the groups of ``df`` by ``keys`` are surely few enough to be broadcast as ``grouped``.
+
+    A HyperLogLog sketch of the keys is filled by every task and merged, so nothing but sketches is shuffled; text keys count with
+    the length of the longest. Aggregates of no fixed size are not judged.
+    """
+    limit = broadcast_limit(df)
+    texts = [k for k in keys if isinstance(df.schema[k].dataType, (T.StringType, T.BinaryType))]
+    width = row_width(grouped.drop(*[c for c, k in zip(grouped.columns, keys) if k in texts]))
+    if limit <= 0 or width is None:
+        return False
+    longest = [F.coalesce(F.max(F.octet_length(k)), F.lit(0)) for k in texts]
+    n, *lengths = df.agg(F.approx_count_distinct(F.struct(*keys), SKETCH_ERROR), *longest).first()
+    return n * SKETCH_ROOM * (width + sum(24 + length for length in lengths)) <= limit
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of the rows of ``df``, found by computing it once."""
     width = F.lit(8)  # row header

@@ -12,16 +12,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from tidemark.functions.keys import all_true
 from tidemark.functions.numbers import round_ieee
 from tidemark.operators.joins import lookup_join
+from tidemark.operators.sizing import groups_fit_broadcast, one_task_reads
 from tidemark.operators.skew import HALO, ROWS_PER_SLICE, SLICE, with_halo
 
 FORTNIGHT = 13  # rows before the current one
 
 
 def partition_values(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
-    """Add aggregates over all rows with the same keys: ``agg OVER (PARTITION BY keys)``."""
+    """Add aggregates over all rows with the same keys: ``agg OVER (PARTITION BY keys)``.
+
+    The number of keys is estimated by a sketch before the join, so that the aggregates of few keys are broadcast
+    and the rows are not shuffled.
+    """
     grouped = df.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(*[c.alias(n) for n, c in aggs.items()])
+    if not one_task_reads(df) and groups_fit_broadcast(df, keys, grouped):
+        grouped = F.broadcast(grouped)
+        return df.join(grouped, all_true([F.col(k) == F.col(f"_of_{k}") for k in keys]), "left").drop(*[f"_of_{k}" for k in keys])
     return lookup_join(df, grouped, [(k, f"_of_{k}") for k in keys])
 
 
@@ -34,9 +43,15 @@ def last_value(value: str, order: Sequence[str]) -> Column:
     return F.max_by(value, F.struct(*order))
 
 
-def peer_last(value: str, keys: Sequence[str], time: str, tie: str) -> Column:
-    """Running ``LAST`` with the default frame: the last row at the current row's time."""
-    return F.max_by(value, F.col(tie)).over(Window.partitionBy(*keys, time))
+def with_peer_last(df: DataFrame, name: str, value: str, keys: Sequence[str], time: str, tie: str) -> DataFrame:
+    """Add the running ``LAST`` with the default frame: the last row at the current row's time.
+
+    The peers' last row comes from an aggregate, which combines before its shuffle, and is joined back with salts,
+    so an instant with a third of all rows fills no task. Keys and times may be NULL: they are compared as one struct.
+    """
+    peers = df.withColumn("_peers", F.struct(*keys, time))
+    last = peers.groupBy(F.col("_peers").alias("_last_of")).agg(F.max_by(value, tie).alias(name))
+    return lookup_join(peers, last, [("_peers", "_last_of")]).drop("_peers")
 
 
 def price_movements(df: DataFrame, keys: Sequence[str], value: str, time: str, tie: str) -> DataFrame:
@@ -50,13 +65,13 @@ def price_movements(df: DataFrame, keys: Sequence[str], value: str, time: str, t
         _last=last_value(value, order),
         _entries=F.count(tie),
     )
-    running = peer_last(value, keys, time, tie)
     return (
-        with_totals.withColumn("price_spread", round_ieee("_spread"))
-        .withColumn("relative_price_movement", round_ieee(running - F.col("_first")))
+        with_peer_last(with_totals, "_running", value, keys, time, tie)
+        .withColumn("price_spread", round_ieee("_spread"))
+        .withColumn("relative_price_movement", round_ieee(F.col("_running") - F.col("_first")))
         .withColumn("abs_price_movement", round_ieee(F.col("_last") - F.col("_first")))
         .withColumnRenamed("_entries", "num_stock_entries")
-        .drop("_spread", "_first", "_last")
+        .drop("_spread", "_first", "_last", "_running")
     )
 
 
