@@ -30,27 +30,27 @@ def _wanted() -> str:
     fields = [f"{_WANTED_FIELDS.get(name) or f'CAST(NULL AS {kind})'} AS {name}" for name, kind in declared]
     return (
         f"SELECT {', '.join(fields)} FROM {{customer}} c LEFT JOIN (SELECT o_custkey, MAX(o_orderdate) AS latest, "
-        "MIN(o_orderdate) AS earliest FROM {orders} GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey WHERE c.c_acctbal > 0"
+        "MIN(o_orderdate) AS earliest FROM {orders} GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey"
     )
 
 
-# Value and filter of each child list over the orders of a customer.
+# Value of each child list over the orders of a customer; coarse ones, as lists multiply each other.
 CHILD_RULES = {
-    "wanted__aliases": ("o_orderstatus", "TRUE"),
-    "wanted__dates_of_birth_used": ("CAST(year(o_orderdate) AS STRING)", "o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"),
-    "wanted__field_offices": ("o_orderpriority", "o_orderstatus <> 'F'"),
-    "wanted__files": ("CAST(month(o_orderdate) AS STRING)", "o_orderstatus = 'P' AND o_orderpriority = '2-HIGH'"),
-    "wanted__images": ("CAST(day(o_orderdate) AS STRING)", "o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM'"),
-    "wanted__languages": ("o_orderstatus", "o_orderstatus = 'O'"),
-    "wanted__occupations": ("o_orderstatus", "o_orderpriority = '5-LOW'"),
-    "wanted__possible_countries": ("CAST(month(o_orderdate) AS STRING)", "o_orderstatus = 'P' AND o_totalprice > 400000"),
-    "wanted__possible_states": ("CAST(year(o_orderdate) AS STRING)", "o_totalprice > 470000"),
-    "wanted__subjects": ("o_orderpriority", "o_orderstatus = 'P' AND o_totalprice < 50000"),
+    "wanted__aliases": "o_orderstatus",
+    "wanted__dates_of_birth_used": "substr(CAST(year(o_orderdate) AS STRING), 1, 1) || '000'",
+    "wanted__field_offices": "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'north' ELSE 'south' END",
+    "wanted__files": "CAST(month(o_orderdate) * 0 AS STRING)",
+    "wanted__images": "CASE WHEN day(o_orderdate) < 32 THEN 'I' END",
+    "wanted__languages": "CASE o_orderstatus WHEN 'P' THEN 'P' ELSE 'other' END",
+    "wanted__occupations": "substr(o_orderpriority, 2, 1)",
+    "wanted__possible_countries": "CASE WHEN o_totalprice IS NOT NULL THEN 'C' END",
+    "wanted__possible_states": "CASE WHEN o_totalprice > 250000 THEN 'upper' ELSE 'lower' END",
+    "wanted__subjects": "CASE WHEN o_totalprice < 50000 THEN 'small' ELSE 'large' END",
 }
 
 
 def _child(name: str) -> str:
-    value, condition = CHILD_RULES[name]
+    value = CHILD_RULES[name]
     fields = {
         "wanted__files": "'https://example.com/' || value AS url, value AS name",
         "wanted__images": "'L' || value AS large, 'T' || value AS thumb, 'O' || value AS original, value AS caption",
@@ -58,7 +58,7 @@ def _child(name: str) -> str:
     return (
         f"SELECT {fields}, CAST(length(value) AS BIGINT) AS _dlt_list_idx, md5('{name}' || k || '|' || value) AS _dlt_id, "
         f"md5('W' || k) AS _dlt_root_id FROM (SELECT DISTINCT CAST(o_custkey AS STRING) AS k, {value} AS value "
-        f"FROM {{orders}} WHERE {condition}) x"
+        "FROM {orders}) x"
     )
 
 
@@ -122,7 +122,7 @@ DOMAIN_TABLES: dict[str, str] = {
     "character__episode": """
         SELECT md5('C' || CAST(l_partkey AS STRING)) AS _dlt_root_id, CASE WHEN l_linenumber = 7 THEN 'none'
             ELSE 'https://example.com/episode/' || CAST(l_orderkey AS STRING) END AS value
-        FROM {lineitem} WHERE l_returnflag = 'R'""",
+        FROM {lineitem}""",
     "episode": """
         SELECT p_partkey AS id, replace(replace(replace(p_name, 'bolt', 'Pickle RICK'), 'ring', 'Mortynight'), 'gear',
             'Jurassic Park') AS name, 'S' || lpad(CAST(p_size AS STRING), 2, '0') || 'E' ||
@@ -133,7 +133,7 @@ DOMAIN_TABLES: dict[str, str] = {
             ON p.p_partkey = l.l_partkey""",
     "episode__characters": """
         SELECT md5('E' || CAST(l_partkey AS STRING)) AS _dlt_root_id,
-            'https://example.com/character/' || CAST(l_suppkey AS STRING) AS value FROM {lineitem} WHERE l_linestatus = 'O'""",
+            'https://example.com/character/' || CAST(l_suppkey AS STRING) AS value FROM {lineitem}""",
     "location": """
         SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_nationkey < 4 THEN 'Planet' WHEN s_nationkey < 7 THEN 'Space station'
             WHEN s_nationkey < 10 THEN 'TV' WHEN s_nationkey < 13 THEN 'box' WHEN s_nationkey < 15 THEN 'Country'
@@ -146,17 +146,17 @@ DOMAIN_TABLES: dict[str, str] = {
             ON s.s_suppkey = l.l_suppkey""",
     "location__residents": """
         SELECT DISTINCT md5('L' || CAST(l_suppkey AS STRING)) AS _dlt_root_id,
-            'https://example.com/character/' || CAST(l_partkey AS STRING) AS value FROM {lineitem} WHERE l_discount > 0.05""",
+            'https://example.com/character/' || CAST(l_partkey AS STRING) AS value FROM {lineitem}""",
     "satellite_before": """
         SELECT user_id AS satellite_id, 'SAT ' || CAST(user_id AS STRING) AS satellite_name, MAX(ts) AS timestamp,
             '1 ' AS tle_line1, '2 ' AS tle_line2, max_by(value, (ts, event_id)) AS x_km, CAST(MIN(length(props)) AS DOUBLE) AS y_km,
             CAST(0 AS DOUBLE) AS z_km, CAST(NULL AS DOUBLE) AS distance_km
-        FROM {events} WHERE CAST(ts AS DATE) <= DATE '2024-01-28' AND event_type <> 'signup' GROUP BY user_id""",
+        FROM {events} WHERE CAST(ts AS DATE) <= DATE '2024-01-28' GROUP BY user_id""",
     "satellite_positions": """
         SELECT user_id AS satellite_id, 'SAT ' || CAST(user_id AS STRING) AS satellite_name, MAX(ts) AS timestamp,
             '1 ' AS tle_line1, '2 ' AS tle_line2, max_by(value, (ts, event_id)) AS x_km, CAST(MIN(length(props)) AS DOUBLE) AS y_km,
             CAST(0 AS DOUBLE) AS z_km, CAST(NULL AS DOUBLE) AS distance_km
-        FROM {events} WHERE event_type <> 'signup' GROUP BY user_id""",
+        FROM {events} GROUP BY user_id""",
 }
 
 
