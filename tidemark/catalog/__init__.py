@@ -1,6 +1,7 @@
 """The registered queries, each with the SQL that gives the same rows.
 
-A query is a function of :class:`tidemark.sources.readers.Tables`. Queries read whole tables.
+A query is a function of :class:`tidemark.sources.readers.Tables`. Queries read whole tables; a filter stands only where it
+is what the query shows, such as an earlier state of a table or the gaps of a lookup.
 """
 
 from __future__ import annotations
