@@ -268,3 +268,21 @@ def test_windows_with_missing_and_text_order(spark, rows):
         want = df.withColumn("m", F.avg("v").over(plain.rowsBetween(-13, 0))).withColumn("d", F.lag("v").over(plain))
         got = windows.over_previous(df, ["k"], order, ["v"], 13, {"m": windows.trailing_mean("v"), "d": lambda w: F.lag("v").over(w)})
         assert rows(got, "i", "m", "d") == rows(want, "i", "m", "d")
+
+
+def test_many_uniqueness_checks_share_one_shuffle(spark, rows):
+    data = [(1, "x", None), (1, "x", None), (1, "y", 2.0), (2, None, 2.0), (2, None, None), (None, "z", 3.0), (None, "z", 3.0)]
+    df = spark.createDataFrame(data, "a int, b string, c double").repartition(3)
+    checks = [
+        quality.UniqueCheck("a", ("a",), ignore_nulls=True),
+        quality.UniqueCheck("a with nulls", ("a",), "warn"),
+        quality.UniqueCheck("a and b", ("b", "a")),
+        quality.UniqueCheck("c", ("c",), ignore_nulls=True),
+        quality.UniqueCheck("all", ("a", "b", "c")),
+    ]
+    got = quality.run_checks(df, unique_checks=checks)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    want = [quality.unique(df, "a"), quality.unique_combination(df, ["a"]), quality.unique_combination(df, ["a", "b"]), quality.unique(df, "c"), quality.unique_combination(df, ["a", "b", "c"])]
+    assert rows(got) == sorted([(c.name, c.severity, w.count()) for c, w in zip(checks, want, strict=True)], key=repr)
+    assert {r.failures for r in quality.run_checks(df.where("1 = 0"), unique_checks=checks).collect()} == {0}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog import query
 from tidemark.catalog.joins import HIERARCHY_SQL
 from tidemark.operators import joins, quality
-from tidemark.operators.quality import RowCheck, TableCheck
+from tidemark.operators.quality import RowCheck, TableCheck, UniqueCheck
 from tidemark.sources.layouts import layout
 
 
@@ -130,6 +130,8 @@ def row_distinct(t):
     UNION ALL SELECT 'discount_range', 'warn', COUNT(*) FILTER (WHERE l_discount > 0.05) FROM lineitem
     UNION ALL SELECT 'price_positive', 'error', COUNT(*) FILTER (WHERE NOT l_extendedprice > 1000) FROM lineitem
     UNION ALL SELECT 'one_line', 'warn', COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'one_part', 'warn', COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'one_supplier', 'warn', COUNT(*) FROM (SELECT 1 FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey HAVING COUNT(*) > 1)
     UNION ALL SELECT 'has_part', 'error', COUNT(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
     """,
 )
@@ -141,7 +143,11 @@ def run_checks(t):
         RowCheck("price_positive", quality.not_true("l_extendedprice > 1000")),
     ]
     tables = [
-        TableCheck("one_line", quality.unique_combination(lines, ["l_orderkey", "l_linenumber"]), "warn"),
         TableCheck("has_part", quality.relationships(lines, "l_partkey", t("part"), "p_partkey")),
     ]
-    return quality.run_checks(lines, rows, tables)
+    uniques = [
+        UniqueCheck("one_line", ("l_orderkey", "l_linenumber"), "warn"),
+        UniqueCheck("one_part", ("l_orderkey", "l_partkey"), "warn"),
+        UniqueCheck("one_supplier", ("l_suppkey",), "warn", ignore_nulls=True),
+    ]
+    return quality.run_checks(lines, rows, tables, uniques)

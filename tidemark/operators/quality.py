@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.keys import all_true
 from tidemark.operators.aggregates import has_repeats
 from tidemark.operators.history import instant
 from tidemark.operators.joins import lookup_join
@@ -121,24 +122,55 @@ class TableCheck:
     severity: str = "error"
 
 
-def run_checks(df: DataFrame, row_checks: Sequence[RowCheck] = (), table_checks: Sequence[TableCheck] = ()) -> DataFrame:
-    """(check_name, severity, failures) for all checks; row checks share one scan."""
+@dataclass(frozen=True)
+class UniqueCheck:
+    """No value or tuple of ``columns`` occurs twice. NULLs are equal to each other, or else (``ignore_nulls``) not looked at."""
+
+    name: str
+    columns: tuple[str, ...]
+    severity: str = "error"
+    ignore_nulls: bool = False
+
+
+def repeated_keys(df: DataFrame, checks: Sequence[UniqueCheck]) -> DataFrame:
+    """(check_name, severity, failures) of many uniqueness checks, from one scan and one shuffle.
+
+    Each row is expanded once for each set of columns, equal keys are counted before the shuffle, and all sets travel together.
+    """
+    columns = list(dict.fromkeys(c for check in checks for c in check.columns))
+    sets = list(dict.fromkeys(tuple(c for c in columns if c in check.columns) for check in checks))
+    keys = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)])
+    named = {c: f"_k{i}" for i, c in enumerate(columns)}
+    counts = keys.groupingSets([[F.col(named[c]) for c in one] for one in sets], *[F.col(named[c]) for c in columns])
+    counts = counts.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+
+    def fails(check: UniqueCheck) -> Column:
+        number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in check.columns)
+        found = F.col("_set") == number
+        return found & all_true([F.col(named[c]).isNotNull() for c in check.columns]) if check.ignore_nulls else found
+
+    failures = counts.agg(*[F.count_if(fails(c)).alias(f"_c{i}") for i, c in enumerate(checks)])
+    return _results(failures, checks)
+
+
+def _results(counts: DataFrame, checks: Sequence) -> DataFrame:
+    """One row of counts ``_c0``, ``_c1``, ... as a row for each check."""
+    fields = [F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.col(f"_c{i}").alias("failures")) for i, c in enumerate(checks)]
+    return counts.select(F.inline(F.array(*fields)))
+
+
+def run_checks(
+    df: DataFrame, row_checks: Sequence[RowCheck] = (), table_checks: Sequence[TableCheck] = (), unique_checks: Sequence[UniqueCheck] = ()
+) -> DataFrame:
+    """(check_name, severity, failures) for all checks; row checks share one scan, uniqueness checks one scan and shuffle."""
     parts = []
     if row_checks:
         counts = df.agg(
             *[F.count_if(F.coalesce(c.fails, F.lit(False))).alias(f"_c{i}") for i, c in enumerate(row_checks)]
         )
-        results = F.array(
-            *[
-                F.struct(
-                    F.lit(c.name).alias("check_name"),
-                    F.lit(c.severity).alias("severity"),
-                    F.col(f"_c{i}").alias("failures"),
-                )
-                for i, c in enumerate(row_checks)
-            ]
-        )
-        parts.append(counts.select(F.inline(results)))
+        parts.append(_results(counts, row_checks))
+    if unique_checks:
+        parts.append(repeated_keys(df, unique_checks))
     for check in table_checks:
         counted = check.failing.agg(F.count(F.lit(1)).alias("failures"))
         parts.append(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
-from tidemark.operators.quality import RowCheck, TableCheck
+from tidemark.operators.quality import RowCheck, TableCheck, UniqueCheck
 from tidemark.sources.layouts import CONTRACTS, layout
 
 # The checks of each model. A kind is followed by its arguments.
@@ -94,7 +94,7 @@ FRESHNESS = {
 
 def check_model(name: str, models: Mapping[str, DataFrame], as_of) -> DataFrame:
     """Results of the declared checks of one model: (model, check_name, severity, failures)."""
-    df, rows, tables = models[name], [], []
+    df, rows, tables, uniques = models[name], [], [], []
     for kind, column, *rest in DECLARED[name]:
         label = f"{kind}:{column}"
         if kind == "not_null":
@@ -106,9 +106,9 @@ def check_model(name: str, models: Mapping[str, DataFrame], as_of) -> DataFrame:
         elif kind == "row_distinct":
             rows.append(RowCheck(label, quality.has_repeats([column, *rest])))
         elif kind in ("unique", "unique_warn"):
-            tables.append(TableCheck(label, quality.unique(df, column), "warn" if kind.endswith("warn") else "error"))
+            uniques.append(UniqueCheck(label, (column,), "warn" if kind.endswith("warn") else "error", ignore_nulls=True))
         elif kind == "unique_combination":
-            tables.append(TableCheck(label, quality.unique_combination(df, [column, *rest])))
+            uniques.append(UniqueCheck(label, (column, *rest)))
         elif kind == "accepted_values":
             tables.append(TableCheck(label, quality.accepted_values(df, column, rest)))
         elif kind == "relationships":
@@ -118,7 +118,7 @@ def check_model(name: str, models: Mapping[str, DataFrame], as_of) -> DataFrame:
             raise ValueError(f"unknown check {kind}")
     if name in CONTRACTS:
         tables.append(TableCheck("contract", quality.schema_contract(df, layout(CONTRACTS[name]))))
-    return quality.run_checks(df, rows, tables).select(F.lit(name).alias("model"), "check_name", "severity", "failures")
+    return quality.run_checks(df, rows, tables, uniques).select(F.lit(name).alias("model"), "check_name", "severity", "failures")
 
 
 def check_models(models: Mapping[str, DataFrame], as_of) -> DataFrame:
