@@ -130,8 +130,6 @@ def row_distinct(t):
     UNION ALL SELECT 'discount_range', 'warn', COUNT(*) FILTER (WHERE l_discount > 0.05) FROM lineitem
     UNION ALL SELECT 'price_positive', 'error', COUNT(*) FILTER (WHERE NOT l_extendedprice > 1000) FROM lineitem
     UNION ALL SELECT 'one_line', 'warn', COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)
-    UNION ALL SELECT 'one_part', 'warn', COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1)
-    UNION ALL SELECT 'one_supplier', 'warn', COUNT(*) FROM (SELECT 1 FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey HAVING COUNT(*) > 1)
     UNION ALL SELECT 'has_part', 'error', COUNT(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
     """,
 )
@@ -145,9 +143,23 @@ def run_checks(t):
     tables = [
         TableCheck("has_part", quality.relationships(lines, "l_partkey", t("part"), "p_partkey")),
     ]
-    uniques = [
+    return quality.run_checks(lines, rows, tables, [UniqueCheck("one_line", ("l_orderkey", "l_linenumber"), "warn")])
+
+
+@query(
+    "q_unique_checks",
+    """
+    SELECT 'one_line' AS check_name, 'warn' AS severity, COUNT(*) AS failures
+    FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'one_part', 'warn', COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'one_supplier', 'error', COUNT(*)
+    FROM (SELECT 1 FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey HAVING COUNT(*) > 1)
+    """,
+)
+def unique_checks(t):
+    checks = [
         UniqueCheck("one_line", ("l_orderkey", "l_linenumber"), "warn"),
         UniqueCheck("one_part", ("l_orderkey", "l_partkey"), "warn"),
-        UniqueCheck("one_supplier", ("l_suppkey",), "warn", ignore_nulls=True),
+        UniqueCheck("one_supplier", ("l_suppkey",), ignore_nulls=True),
     ]
-    return quality.run_checks(lines, rows, tables, uniques)
+    return quality.run_checks(t("lineitem"), unique_checks=checks)
