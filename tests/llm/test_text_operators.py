@@ -5,13 +5,12 @@ import random
 import re
 import zlib
 
-import duckdb
 import numpy as np
 import pytest
 
 from tidemark.llm import conversations, fill_middle, license_scan
 from tidemark.llm.common import stage
-from tidemark.llm.queries import ORACLE_SQL, QUERIES
+from tidemark.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 CLASHES = "n int, form int, labels int, cost int, copies int, key int, part int, place int"
@@ -23,15 +22,6 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-@pytest.mark.parametrize("name", ["op11_conversations", "op13_fill_middle"])
-def test_equal_to_sql(spark, rows, name):
-    con = duckdb.connect()
-    for table in ("documents", "conversations"):
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
-    got = QUERIES[name](spark, FOLDER)
-    assert rows(got) == sorted(con.sql(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL[name]})").fetchall(), key=repr)
-
-
 # conversations
 
 PUT = {"": "u", "s": "u", "u": "a", "a": "u"}
