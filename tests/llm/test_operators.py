@@ -13,6 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm import forest, language_model, line_dedup, mixing, near_vectors, ngram_join, packing, quality, sharding, token_files, tokens
+from tidemark.llm.common import key_groups, table
 from tidemark.llm.elias_fano import EliasFano
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
@@ -145,6 +146,55 @@ def test_ngram_join_of_a_large_group(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: 0 if i < 150 else i for i, _ in texts}
 
 
+def linked(texts):
+    """Each id's set size and smallest reachable id; pairs are counted shingle by shingle."""
+    sets, holders, shared, root = {}, {}, {}, {i: i for i in texts}
+    for i, text in texts.items():
+        w = words(text)
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+        for x in sets[i]:
+            for j in holders.setdefault(x, []):
+                shared[j, i] = shared.get((j, i), 0) + 1
+            holders[x].append(i)
+    top = lambda i: i if root[i] == i else top(root[i])
+    for (i, j), n in shared.items():
+        if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+            a, b = sorted((top(i), top(j)))
+            root[b] = a
+    return sorted((i, len(sets[i]), top(i)) for i in texts)
+
+
+def test_ngram_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in table(spark, folder, "documents").select("doc_id", "text").collect()}
+    got = QUERIES["op2_ngram_join"](spark, folder).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == linked(texts)
+
+
+@pytest.mark.parametrize(("chunk", "carried"), [(1024, 256), (3, 256), (3, 1), (1024, 2)])
+def test_ngram_pairs_in_chunks_and_blocks(spark, monkeypatch, chunk, carried):
+    """Texts of shared passages in changing order: many tokens for a node, components within a token."""
+    monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    monkeypatch.setattr(ngram_join, "CARRIED", carried)
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
+    rng = np.random.default_rng(11)
+    passages = [" ".join(f"p{k}x{m}" for m in range(12)) for k in range(14)]
+    texts = {i: " ".join(passages[k] for k in sorted(rng.choice(14, int(rng.integers(3, 12)), replace=False))) for i in range(60)}
+    got = ngram_join.join_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "doc_id", "text").collect()
+    want = linked(texts)
+    assert len({r for _, _, r in want}) < len(texts)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
+def test_groups_span_batches():
+    keys = [0, 0, 1, 2, 2, 2, 2, 2, 3, 3, 4, 5]
+    whole = pa.RecordBatch.from_pydict({"k": pa.array(keys), "at": pa.array(range(len(keys)))})
+    for size in (1, 2, 3, 5, 12):
+        batches = [whole.slice(0, 0), *(whole.slice(a, size) for a in range(0, len(keys), size))]
+        groups = [g.column("at").to_pylist() for g in key_groups(iter(batches), ["k"])]
+        assert groups == [[0, 1], [2], [3, 4, 5, 6, 7], [8, 9], [10], [11]]
+
+
 @pytest.mark.parametrize(("name", "keeps_space"), [(tokens.BYTE_BPE, True), (tokens.WORD_BPE, False)])
 def test_ids_equal_the_library(name, keeps_space):
     path = public_tokenizers.path(name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,3 +63,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             total += n
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def key_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each value of the integer columns ``keys``; rows of one value must follow each other.
+
+    Many small groups come out of one batch, which costs less than a call by Spark for each.
+    """
+    pending: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy() for k in keys])
+        cuts = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        if pending and any(pending[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+            yield pa.Table.from_batches(pending)
+            pending = []
+        for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            pending.append(batch.slice(start, end - start))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(pending)
+                pending = []
+    if pending:
+        yield pa.Table.from_batches(pending)

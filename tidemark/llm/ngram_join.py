@@ -9,8 +9,9 @@ share the smaller ``l`` of the two.
 Documents with equal sets are one class, a node. A shingle shared by a large group of near copies would give
 the square of the group in pairs; so while such groups are about, each shingle's nodes are first compared
 with one of them, and only nodes of different components are paired in the end. Shingles that the same nodes
-hold are paired once, with a weight. No link between components is lost: every remaining pair of different
-components that shares enough prefix shingles is verified.
+hold are paired once, with a weight. The pairs of a shingle's nodes are counted inside the tasks that hold two
+chunks of them: a pair leaves the task of its first common shingle, if it shares enough. No link between
+components is lost: every remaining pair of different components that shares enough prefix shingles is verified.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, parts, slices, stage
+from tidemark.llm.common import id_text, key_groups, parts, slices, stage
 from tidemark.llm.graph import connected_components
 from tidemark.llm.text import Words, distinct_in_texts, shingles
 
@@ -41,6 +42,8 @@ PAIRS_PER_POSTING, WORTH_A_ROUND, STAR_ROUNDS = 0.5, 0.95, 8
 FILTER_BITS = 1 << 24
 #: Documents compared with one document in one run of a task.
 COMPARED_AT_ONCE = 500
+#: Nodes of a token in one chunk, and about how many of its node's other tokens a posting carries.
+CHUNK, CARRIED = 1024, 256
 
 
 def frequency_table(texts: DataFrame) -> np.ndarray:
@@ -181,15 +184,105 @@ def shared_needed(n: str, l: str, m: str, k: str) -> Column:  # noqa: E741
     return F.greatest(F.least(l, k), overlap - F.greatest(beyond(F.col(n), F.col(l)), beyond(F.col(m), F.col(k))))
 
 
-def same_nodes(postings: DataFrame) -> DataFrame:
+def met_tokens(usable: DataFrame) -> DataFrame:
+    """``token, node`` of prefix shingles that several nodes hold, each once.
+
+    Nearly all shingles have one node. So each shingle's smallest and largest node are found first, which
+    combines before its shuffle, and a bit table keeps most other shingles out of the second one.
+    """
+    tokens = usable.select(F.explode("prefix").alias("token"), "node")
+    several = stage(tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token"), "several")
+    held = only_these(tokens, several, "token").distinct()
+    return stage(held.join(several, "token", "left_semi"), "held")
+
+
+def same_nodes(held: DataFrame) -> DataFrame:
     """``token, node, w``: the shingles that the same nodes hold as one token, ``w`` of them.
 
     A passage that many texts share gives the same pairs for each of its shingles; so it gives them once.
     Sets of nodes are told apart by a hash. If two had the same, a pair's smaller ``w`` would still be no
     less than the shingles that it shares, so that only a comparison is added.
     """
-    held = postings.select("node", F.bit_xor(F.xxhash64("node")).over(Window.partitionBy("token")).alias("token"))
-    return held.groupBy("token", "node").agg(F.count("*").alias("w"))
+    sets = held.groupBy("token").agg(F.bit_xor(F.xxhash64("node")).alias("set"))
+    return held.join(sets, "token").groupBy(F.col("set").alias("token"), "node").agg(F.count("*").alias("w"))
+
+
+def share_enough(group: pa.Table) -> pa.Table:
+    """``a, b, shared, need`` of one pair of chunks of a token's nodes: the pairs that this token answers for.
+
+    A pair of nodes of different components belongs to its first common token. If one of the two has so many
+    tokens that postings carry only those whose last ``bits`` bits agree, the pair has a part of its count from
+    the first common token of each such block, and is judged after adding these.
+    """
+    token, i, j = (group.column(c)[0].as_py() for c in ("token", "i", "j"))
+    node, n, l, root, bits, chunk = (group.column(c).to_numpy() for c in ("node", "n", "l", "root", "bits", "chunk"))  # noqa: E741
+    a, b = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+    least, most = np.minimum.outer(n[a], n[b]), np.maximum.outer(n[a], n[b])
+    mine = np.not_equal.outer(root[a], root[b]) & (least * 100 >= most * PERCENT)
+    if i == j:
+        mine &= np.less.outer(node[a], node[b])
+    shared, depth = np.zeros(mine.shape, np.int64), np.maximum.outer(bits[a], bits[b])
+    if mine.any():
+        lists = group.column("carried").combine_chunks()
+        owner = np.repeat(np.arange(len(node)), lists.value_lengths().to_numpy())
+        items = lists.flatten()
+        held, weight = items.field("token").to_numpy(), items.field("w").to_numpy()
+        order = np.argsort(held, kind="stable")
+        held, weight, owner = held[order], weight[order], owner[order]
+        place = np.zeros((2, len(node)), np.int64)
+        place[0, a], place[1, b] = np.arange(len(a)), np.arange(len(b))
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(held)) + 1, [len(held)]])
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            rows, w = owner[start:end], weight[start:end]
+            left, right = chunk[rows] == i, chunk[rows] == j
+            if end - start < 2 or not (left.any() and right.any()):
+                continue
+            at = np.ix_(place[0, rows[left]], place[1, rows[right]])
+            other = int(held[start])
+            differ = (other ^ token) & -(other ^ token)
+            here = depth[at] < differ.bit_length() if differ else True
+            if other < token:
+                mine[at] &= ~here
+            else:
+                shared[at] += np.where(here, np.minimum.outer(w[left], w[right]), 0)
+    x, y = np.nonzero(mine)
+    shared, whole, x, y = shared[x, y], depth[x, y] == 0, a[x], b[y]
+    beyond = np.maximum(0, least_overlap(n) - l)
+    overlap = -(-(n[x] + n[y]) * PERCENT // (100 + PERCENT))
+    need = np.maximum(np.minimum(l[x], l[y]), overlap - np.maximum(beyond[x], beyond[y]))
+    some = ~whole | (shared >= need)
+    first, second = np.minimum(node[x], node[y])[some], np.maximum(node[x], node[y])[some]
+    return pa.table({"a": pa.array(first), "b": pa.array(second), "shared": pa.array(shared[some]), "need": pa.array(need[some].astype(np.int64))})
+
+
+def candidates(live: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of nodes of different components that share enough prefix shingles.
+
+    ``live``: ``token, node, n, l, w, root, main``. A token's nodes outside its largest component meet all of its
+    nodes, chunk by chunk; those within it need not meet each other.
+    """
+    live = live.withColumn("in_main", F.col("root") == F.col("main"))
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / CARRIED))).cast("int")
+    rows = live.join(live.groupBy("node").agg(bits.alias("bits")), "node")
+    rows = rows.withColumn("block", F.expr("token & (shiftleft(1L, bits) - 1)"))
+    carried = rows.groupBy("node", "block").agg(F.collect_list(F.struct("token", "w")).alias("carried"))
+    many = lambda which: F.ceil(F.count_if(which) / CHUNK).cast("int")
+    chunks = live.groupBy("token").agg(many(~F.col("in_main")).alias("others"), many("in_main").alias("mains"))
+    rows = rows.join(carried, ["node", "block"]).join(chunks, "token")
+    at = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+    rows = rows.withColumn("chunk", F.when(F.col("in_main"), F.col("others") + at("mains")).otherwise(at("others")))
+    meets = F.sequence(F.lit(0), F.when(F.col("in_main"), F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1)
+    rows = rows.withColumn("other", F.explode(meets)).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other"))
+    rows = rows.select("token", "i", "j", "chunk", "node", "n", F.col("l").cast("long").alias("l"), "root", "bits", "carried")
+    key = ["token", "i", "j"]
+    rows = rows.repartition(parts(live), *key).sortWithinPartitions(*key)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in key_groups(batches, key):
+            yield from share_enough(group).to_batches()
+
+    found = rows.mapInArrow(count, "a long, b long, shared long, need long")
+    return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
 
 
 def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
@@ -240,12 +333,7 @@ def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
             break
         postings = live.select("token", "node", "n", "l", "w", "central")
     # every pair of different components has a node outside the token's largest one
-    left = live.where("root <> main").select("token", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("l").alias("x_l"), F.col("w").alias("x_w"), F.col("root").alias("x_root"))
-    right = live.select("token", "node", "n", "l", "w", "root", (F.col("root") == F.col("main")).alias("in_main"))
-    both = left.join(right, "token").where(F.col("x_root") != F.col("root")).where(F.col("in_main") | (F.col("x") < F.col("node"))).where(close_in_size("x_n", "n"))
-    both = both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"), F.least("x_w", "w").alias("w"), shared_needed("x_n", "x_l", "n", "l").alias("need"))
-    enough = both.groupBy("a", "b").agg(F.sum("w").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
-    grow(stage(verified(stage(enough, "candidates"), texts), "links"))
+    grow(stage(verified(stage(candidates(live), "candidates"), texts), "links"))
     return roots
 
 
@@ -297,10 +385,7 @@ def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = id_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     sets = stage(document_sets(texts, frequency_table(texts)), "sets")
     usable = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    token = Window.partitionBy("token")
-    tokens = usable.select(F.explode("prefix").alias("token"), "node")
-    several = tokens.select("token", "node", F.min("node").over(token).alias("low"), F.max("node").over(token).alias("high"))
-    several = stage(same_nodes(several.where("low <> high").select("token", "node").distinct()), "postings")
+    several = stage(same_nodes(met_tokens(usable)), "postings")
     met = several.groupBy("node").agg(F.sum("w").alias("kept"))
     first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"), F.max("kept").alias("kept"))
     # an original has few shingles of its own, so most of its prefix is shared
