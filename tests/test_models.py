@@ -5,9 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import catalog
 from tidemark.operators import quality
 from tidemark.plans import beverages, characters, checks, geo, library, uv, wanted, weather
 from tidemark.sources.layouts import CONTRACTS, layout, source_layout
+from tidemark.sources.readers import Tables
 
 D = dt.date
 
@@ -38,6 +40,16 @@ def test_star_of_two_aliases_and_three_images(spark, rows):
     assert fact.where("wanted_id = 'p1' and wanted_subject_sk is null").count() == 6
 
 
+@pytest.mark.parametrize(
+    "model, column, value", [("base_fbi_files", "language_name", "cast(month(o_orderdate) as string)")]
+)
+def test_a_list_read_alone_has_every_value_of_a_persons_orders(spark, rows, model, column, value):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    got = catalog.load()[f"model_{model}"].build(t)
+    want = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).selectExpr("'W' || c_custkey", value).distinct()
+    assert rows(got, "wanted_id", column) == rows(want)
+
+
 def test_person_without_alcohol_type_gets_a_key(spark):
     drinks = table(spark, "beverages", "beverages_table", {"id_drink": "1", "str_drink": "A", "source_beverage_type": "Shot"})
     base = beverages.base_beverages(drinks, table(spark, "beverages", "alcoholic_table"))

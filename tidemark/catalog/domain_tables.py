@@ -48,9 +48,11 @@ CHILD_RULES = {
     "wanted__subjects": "CASE WHEN o_totalprice < 50000 THEN 'small' ELSE 'large' END",
 }
 
+# Values of lists that are read alone, each value an order has.
+FULL_LISTS = {"wanted__files": "CAST(month(o_orderdate) AS STRING)"}
 
-def _child(name: str) -> str:
-    value = CHILD_RULES[name]
+
+def _child(name: str, value: str) -> str:
     fields = {
         "wanted__files": "'https://example.com/' || value AS url, value AS name",
         "wanted__images": "'L' || value AS large, 'T' || value AS thumb, 'O' || value AS original, value AS caption",
@@ -109,7 +111,8 @@ DOMAIN_TABLES: dict[str, str] = {
             CAST(NULL AS STRING) AS str_ingredient6, CAST(NULL AS STRING) AS str_ingredient7,
             CAST(NULL AS STRING) AS str_ingredient8 FROM {lineitem}""",
     "wanted": _wanted(),
-    **{name: _child(name) for name in CHILD_RULES},
+    **{name: _child(name, value) for name, value in CHILD_RULES.items()},
+    **{f"{name}__full": _child(name, value) for name, value in FULL_LISTS.items()},
     "character": """
         SELECT p_partkey AS id, replace(replace(p_name, 'red ', 'Rick '), 'blue ', 'MORTY ') AS name,
             CASE WHEN p_size < 20 THEN 'Alive' WHEN p_size < 40 THEN 'Dead' ELSE 'unknown' END AS status, p_type AS species,

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
-from tidemark.catalog.domain_tables import CHILD_RULES, DOMAIN_TABLES, with_tables
+from tidemark.catalog.domain_tables import CHILD_RULES, DOMAIN_TABLES, FULL_LISTS, with_tables
 from tidemark.catalog.expressions import CALENDAR_SQL
 from tidemark.operators.joins import aggregate_lookup
 from tidemark.plans import beverages, calendar, characters, checks, finance, geo, library, satellite, universities, uv, wanted, weather
@@ -354,8 +354,14 @@ def staging_fbi_wanted_lookup(t):
     return wanted.staging_fbi_wanted_lookup(base_fbi_wanted(t))
 
 
+def _list_alone(model: str) -> str:
+    table = wanted.CHILDREN[model][0]
+    return f"{table}__full" if table in FULL_LISTS else table
+
+
 def _child_sql(model: str) -> str:
-    table, values, order, row_key = wanted.CHILDREN[model]
+    _, values, order, row_key = wanted.CHILDREN[model]
+    table = _list_alone(model)
     fields = ", ".join(f"c.{a} AS {b}" for a, b in values.items())
     return (
         f"{with_tables('wanted', table)} SELECT {fields}, w.uid AS wanted_id, c._dlt_list_idx AS {order}, c._dlt_id AS {row_key} "
@@ -366,7 +372,7 @@ def _child_sql(model: str) -> str:
 def _register_child(model: str) -> None:
     @query(f"model_{model}", _child_sql(model))
     def base_child(t):
-        return wanted.base_child(model, source(t, wanted.CHILDREN[model][0]), source(t, "wanted"))
+        return wanted.base_child(model, source(t, _list_alone(model)), source(t, "wanted"))
 
 
 for _model in wanted.CHILDREN:
