@@ -41,7 +41,8 @@ def test_star_of_two_aliases_and_three_images(spark, rows):
 
 
 @pytest.mark.parametrize(
-    "model, column, value", [("base_fbi_files", "language_name", "cast(month(o_orderdate) as string)")]
+    "model, column, value",
+    [("base_fbi_files", "language_name", "cast(month(o_orderdate) as string)"), ("base_fbi_occupations", "occupations", "o_orderstatus")],
 )
 def test_a_list_read_alone_has_every_value_of_a_persons_orders(spark, rows, model, column, value):
     t = Tables(spark, "/root/testdata/sf0.001")

@@ -49,7 +49,7 @@ CHILD_RULES = {
 }
 
 # Values of lists that are read alone, each value an order has.
-FULL_LISTS = {"wanted__files": "CAST(month(o_orderdate) AS STRING)"}
+FULL_LISTS = {"wanted__files": "CAST(month(o_orderdate) AS STRING)", "wanted__occupations": "o_orderstatus"}
 
 
 def _child(name: str, value: str) -> str:
