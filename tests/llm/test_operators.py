@@ -146,6 +146,27 @@ def test_ngram_join_of_a_large_group(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: 0 if i < 150 else i for i, _ in texts}
 
 
+def test_ngram_copies_of_one_original_meet_it_first(spark, monkeypatch):
+    """Copies too far from each other are linked by the original: pairs grow with the copies, not with their square."""
+    rng = np.random.default_rng(6)
+    texts = {0: " ".join(f"g{k}" for k in range(120))}
+    for i in range(1, 121):
+        mine = texts[0].split(" ")
+        at, size = int(rng.integers(15, 85)), int(rng.integers(1, 22))
+        mine[at : at + size] = [f"e{i}x{k}" for k in range(size)]
+        texts[i] = " ".join(mine)
+    pairs, compare = [], ngram_join.verified
+
+    def counted(found, texts):
+        pairs.append(found.count())
+        return compare(found, texts)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    got = ngram_join.join_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "doc_id", "text").collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == linked(texts)
+    assert sum(pairs) <= 3 * len(texts)
+
+
 def linked(texts):
     """Each id's set size and smallest reachable id; pairs are counted shingle by shingle."""
     sets, holders, shared, root = {}, {}, {}, {i: i for i in texts}
@@ -171,6 +192,17 @@ def test_ngram_query_equals_brute_force(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == linked(texts)
 
 
+@pytest.mark.parametrize(("crowd", "chunk", "carried"), [(2, 1024, 256), (6, 3, 1), (14, 3, 2), (14, 1024, 256)])
+def test_ngram_pairs_of_crowded_tokens_come_last(spark, monkeypatch, crowd, chunk, carried):
+    for name, value in (("CROWD", crowd), ("CHUNK", chunk), ("CARRIED", carried), ("STAR_ROUNDS", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = np.random.default_rng(12)
+    passages = [" ".join(f"p{k}x{m}" for m in range(12)) for k in range(14)]
+    texts = {i: " ".join(passages[k] for k in sorted(rng.choice(14, int(rng.integers(3, 12)), replace=False))) for i in range(60)}
+    got = ngram_join.join_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "doc_id", "text").collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == linked(texts)
+
+
 @pytest.mark.parametrize(("chunk", "carried"), [(1024, 256), (3, 256), (3, 1), (1024, 2)])
 def test_ngram_pairs_in_chunks_and_blocks(spark, monkeypatch, chunk, carried):
     """Texts of shared passages in changing order: many tokens for a node, components within a token."""

@@ -7,9 +7,9 @@ frequencies. If two sets are similar enough, their first ``l`` common shingles l
 share the smaller ``l`` of the two.
 
 Documents with equal sets are one class, a node. A shingle shared by a large group of near copies would give
-the square of the group in pairs; so while such groups are about, each shingle's nodes are first compared
-with one of them, and only nodes of different components are paired in the end. Shingles that the same nodes
-hold are paired once, with a weight. The pairs of a shingle's nodes are counted inside the tasks that hold two
+the square of the group in pairs; so each shingle's nodes are first compared with one of them, then those that
+share a shingle of few nodes, as a copy and its own copies do. Crowded shingles come last; in the end, only nodes
+of different components are paired. Shingles that the same nodes hold are paired once, with a weight. The pairs of a shingle's nodes are counted inside the tasks that hold two
 chunks of them: a pair leaves the task of its first common shingle, if it shares enough. No link between
 components is lost: every remaining pair of different components that shares enough prefix shingles is verified.
 """
@@ -35,8 +35,10 @@ PERCENT = 80
 MOST_MATCHES, VERIFY_COST = 6, 1 / 32
 #: Counters of the frequency table (4 bytes each) and the ranges it is summed in.
 COUNTERS, RANGES = 1 << 21, 128
-#: Nodes are compared with one of a shingle's nodes first while pairs exceed postings by the first factor, and
-#: a round leaves less than the second of the pairs. All pairs left are then compared in any case.
+#: Shingles of at least ``CROWD`` nodes are crowded. Their nodes are compared with one of them while their pairs exceed
+#: all postings by the first factor, and a round leaves less than the second of the pairs. All pairs left are then
+#: compared in any case.
+CROWD = 32
 PAIRS_PER_POSTING, WORTH_A_ROUND, STAR_ROUNDS = 0.5, 0.95, 8
 #: Bits of the table that picks the texts to be compared.
 FILTER_BITS = 1 << 24
@@ -141,7 +143,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     Texts meet in runs: first the text of ``a``, then those compared with it, streamed. A node with many
     pairs has many runs. Texts of no pair stay out of the shuffle.
     """
-    texts = only_these(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
+    texts = only_these(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node").dropDuplicates(["node"])
     width = F.ceil(F.count("*").over(Window.partitionBy("a")) / COMPARED_AT_ONCE)
     pairs = pairs.withColumn("run", F.pmod(F.xxhash64("b"), width).cast("int"))
     heads = pairs.select("a", "run").distinct()
@@ -201,18 +203,22 @@ def same_nodes(held: DataFrame) -> DataFrame:
 
     A passage that many texts share gives the same pairs for each of its shingles; so it gives them once.
     Sets of nodes are told apart by a hash. If two had the same, a pair's smaller ``w`` would still be no
-    less than the shingles that it shares, so that only a comparison is added.
+    less than the shingles that it shares, so that only a comparison is added. Tokens of ``CROWD`` nodes are not
+    negative, all others are.
     """
-    sets = held.groupBy("token").agg(F.bit_xor(F.xxhash64("node")).alias("set"))
+    hashed = F.bit_xor(F.xxhash64("node"))
+    sign = F.when(F.count("*") >= CROWD, hashed.bitwiseAND(F.lit(2**63 - 1))).otherwise(hashed.bitwiseOR(F.lit(-(2**63))))
+    sets = held.groupBy("token").agg(sign.alias("set"))
     return held.join(sets, "token").groupBy(F.col("set").alias("token"), "node").agg(F.count("*").alias("w"))
 
 
-def share_enough(group: pa.Table) -> pa.Table:
+def share_enough(group: pa.Table, crowded: bool) -> pa.Table:
     """``a, b, shared, need`` of one pair of chunks of a token's nodes: the pairs that this token answers for.
 
     A pair of nodes of different components belongs to its first common token. If one of the two has so many
     tokens that postings carry only those whose last ``bits`` bits agree, the pair has a part of its count from
-    the first common token of each such block, and is judged after adding these.
+    the first common token of each such block, and is judged after adding these. With ``crowded``, a token that is
+    not has only such pairs left.
     """
     token, i, j = (group.column(c)[0].as_py() for c in ("token", "i", "j"))
     node, n, l, root, bits, chunk = (group.column(c).to_numpy() for c in ("node", "n", "l", "root", "bits", "chunk"))  # noqa: E741
@@ -222,6 +228,8 @@ def share_enough(group: pa.Table) -> pa.Table:
     if i == j:
         mine &= np.less.outer(node[a], node[b])
     shared, depth = np.zeros(mine.shape, np.int64), np.maximum.outer(bits[a], bits[b])
+    if crowded and token < 0:
+        mine &= depth > 0
     if mine.any():
         lists = group.column("carried").combine_chunks()
         owner = np.repeat(np.arange(len(node)), lists.value_lengths().to_numpy())
@@ -255,19 +263,18 @@ def share_enough(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(first), "b": pa.array(second), "shared": pa.array(shared[some]), "need": pa.array(need[some].astype(np.int64))})
 
 
-def candidates(live: DataFrame) -> DataFrame:
+def candidates(live: DataFrame, crowded: bool) -> DataFrame:
     """Pairs ``a, b`` of nodes of different components that share enough prefix shingles.
 
-    ``live``: ``token, node, n, l, w, root, main``. A token's nodes outside its largest component meet all of its
-    nodes, chunk by chunk; those within it need not meet each other.
+    ``live``: ``token, node, n, l, w, bits, root, main``. A token's nodes outside its largest component meet all of its
+    nodes, chunk by chunk; those within it need not meet each other. First come the pairs that have a token in
+    common that is not ``crowded``, then all others: with those, the tokens sort behind.
     """
-    live = live.withColumn("in_main", F.col("root") == F.col("main"))
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / CARRIED))).cast("int")
-    rows = live.join(live.groupBy("node").agg(bits.alias("bits")), "node")
-    rows = rows.withColumn("block", F.expr("token & (shiftleft(1L, bits) - 1)"))
+    rows = live.withColumn("in_main", F.col("root") == F.col("main")).withColumn("block", F.expr("token & (shiftleft(1L, bits) - 1)"))
     carried = rows.groupBy("node", "block").agg(F.collect_list(F.struct("token", "w")).alias("carried"))
     many = lambda which: F.ceil(F.count_if(which) / CHUNK).cast("int")
-    chunks = live.groupBy("token").agg(many(~F.col("in_main")).alias("others"), many("in_main").alias("mains"))
+    meeting = F.expr("token >= 0 OR most_bits > 0" if crowded else "token < 0")
+    chunks = rows.groupBy("token").agg(many(~F.col("in_main")).alias("others"), many("in_main").alias("mains"), F.max("bits").alias("most_bits")).where(meeting)
     rows = rows.join(carried, ["node", "block"]).join(chunks, "token")
     at = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
     rows = rows.withColumn("chunk", F.when(F.col("in_main"), F.col("others") + at("mains")).otherwise(at("others")))
@@ -279,7 +286,7 @@ def candidates(live: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in key_groups(batches, key):
-            yield from share_enough(group).to_batches()
+            yield from share_enough(group, crowded).to_batches()
 
     found = rows.mapInArrow(count, "a long, b long, shared long, need long")
     return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
@@ -288,14 +295,15 @@ def candidates(live: DataFrame) -> DataFrame:
 def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
     """``node, root`` of all nodes that links connect to a smaller node.
 
-    ``postings``: ``token, node, n, l, w, central``; a token stands for ``w`` shingles of one set of nodes. The
-    first round takes the nodes of largest ``central`` as pivots, later ones draw them by a hash of the node and
-    the round; all tokens draw alike.
+    ``postings``: ``token, node, n, l, w, bits, central``; a token stands for ``w`` shingles of one set of nodes. The
+    first round takes the nodes of largest ``central`` as pivots; those after the pairs of tokens that are not crowded
+    draw them by a hash of the node and the round; all tokens draw alike.
     """
-    edges = roots = before = None
+    edges = roots = None
 
-    def grow(found: DataFrame) -> bool:
+    def grow(pairs: DataFrame, label: str) -> bool:
         nonlocal edges, roots
+        found = stage(verified(stage(pairs, label), texts), "links")
         merged = bool(found.head(1))
         if merged:
             edges = found if edges is None else edges.unionByName(found)
@@ -309,31 +317,39 @@ def link_components(postings: DataFrame, texts: DataFrame) -> DataFrame | None:
         by_root = rows.groupBy("token", "root").agg(F.count("*").alias("k"), F.min(drawn).alias("first"))
         main = F.struct(F.col("root").alias("main"), *(F.col(f"first.{c}").alias(d) for c, d in (("node", "pivot"), ("n", "pivot_n"), ("l", "pivot_l"), ("w", "pivot_w"))))
         by_token = by_root.groupBy("token").agg(
-            F.max_by(main, F.struct("k", -F.col("root"))).alias("m"), F.sum("k").alias("nodes"), (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs")
+            F.max_by(main, F.struct("k", -F.col("first.draw"), -F.col("root"))).alias("m"), F.sum("k").alias("nodes"), (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs")
         )
         return by_token.where("pairs > 0").select("token", "m.*", "nodes", "pairs")
 
-    for turn in range(STAR_ROUNDS + 1):
+    def open_tokens(turn: int) -> tuple[DataFrame, int, int]:
+        """The postings of tokens that hold several components, their number, and the pairs of crowded tokens."""
         rows = postings.withColumn("root", F.col("node"))
         if roots is not None:
             rows = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         main = stage(mains(rows, turn), "mains")
-        pairs, nodes = main.agg(F.sum("pairs") / 2, F.sum("nodes")).first()
-        if not nodes:
-            return roots
-        live = stage(rows.join(main.drop("nodes", "pairs"), "token"), "live")
-        if turn and (turn == STAR_ROUNDS or pairs <= PAIRS_PER_POSTING * nodes or pairs > WORTH_A_ROUND * before):
-            break
-        before = pairs
-        star = live.where("root <> main").where(close_in_size("n", "pivot_n"))
-        star = star.groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(
+        nodes, pairs = main.agg(F.sum("nodes"), F.sum(F.when(F.col("token") >= 0, F.col("pairs"))) / 2).first()
+        return stage(rows.join(main.drop("nodes", "pairs"), "token"), "live"), nodes or 0, pairs or 0
+
+    def star(live: DataFrame) -> DataFrame:
+        near = live.where("root <> main").where(close_in_size("n", "pivot_n"))
+        near = near.groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(
             F.sum(F.least("w", "pivot_w")).alias("shared"), F.max(shared_needed("n", "l", "pivot_n", "pivot_l")).alias("need")
         )
-        if not grow(stage(verified(stage(star.where("shared >= need").select("a", "b"), "star"), texts), "links")):
+        return near.where("shared >= need").select("a", "b")
+
+    live, nodes, before = open_tokens(0)
+    if not nodes:
+        return roots
+    grow(star(live), "star")
+    live, _, _ = open_tokens(0)
+    grow(candidates(live, crowded=False), "candidates")
+    for turn in range(1, STAR_ROUNDS + 1):
+        live, nodes, pairs = open_tokens(turn)
+        if pairs <= PAIRS_PER_POSTING * nodes or pairs > WORTH_A_ROUND * before or not grow(star(live.where("token >= 0")), "star"):
             break
-        postings = live.select("token", "node", "n", "l", "w", "central")
+        before = pairs
     # every pair of different components has a node outside the token's largest one
-    grow(stage(verified(stage(candidates(live), "candidates"), texts), "links"))
+    grow(candidates(live, crowded=True), "candidates")
     return roots
 
 
@@ -386,16 +402,21 @@ def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     sets = stage(document_sets(texts, frequency_table(texts)), "sets")
     usable = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
     several = stage(same_nodes(met_tokens(usable)), "postings")
-    met = several.groupBy("node").agg(F.sum("w").alias("kept"))
-    first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"), F.max("kept").alias("kept"))
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / CARRIED))).cast("int")
+    met = several.groupBy("node").agg(F.sum("w").alias("kept"), bits.alias("bits"))
+    first = usable.join(met, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), F.max("matches").alias("l"), F.max("kept").alias("kept"), F.max("bits").alias("bits"))
+    text_id = F.xxhash64("doc_id", "text_key")
     # an original has few shingles of its own, so most of its prefix is shared
     prefix = F.least("n", F.floor(F.col("n") * (100 - PERCENT) / 100) + F.col("l"))
-    first = stage(first.select("node", "first.*", "n", "l", (F.col("kept") / prefix).alias("central")), "nodes")
-    postings = several.join(first.select("node", "n", "l", "central"), "node")
-    # a node has one id and text, so repeated rows meet where the join has put them
-    node_texts = only_these(texts, first, "text_key").join(first.select("node", "doc_id", "text_key").hint("shuffle_hash"), ["doc_id", "text_key"])
-    node_texts = stage(node_texts.dropDuplicates(["doc_id", "text_key"]).select("node", "text"), "texts")
+    first = stage(first.select("node", "first.*", "n", "l", "bits", (F.col("kept") / prefix).alias("central")).withColumn("text_id", text_id), "nodes")
+    # from here a node goes by its text's id, so that texts need no shuffle to find their node
+    postings = several.join(first.select("node", "text_id", "n", "l", "bits", "central"), "node").drop("node").withColumnRenamed("text_id", "node")
+    node_texts = stage(only_these(texts.select(text_id.alias("node"), "text"), first.select(F.col("text_id").alias("node")), "node"), "texts")
     roots = link_components(postings, node_texts)
+    if roots is not None:
+        named = first.select("node", "text_id")
+        roots = roots.join(named.withColumnRenamed("text_id", "at"), F.col("at") == roots["node"]).select(named["node"], "root")
+        roots = roots.join(first.select(F.col("node").alias("first_node"), "text_id"), F.col("text_id") == F.col("root")).select("node", F.col("first_node").alias("root"))
 
     members = usable.select("doc_id", "node").distinct()
     if roots is not None:
