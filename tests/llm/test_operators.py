@@ -117,6 +117,21 @@ def test_one_line_over_many_ranges(spark):
     assert sorted(tuple(r) for r in got) == brute_lines(texts)
 
 
+def test_quality_space_is_fitted_block_by_block(monkeypatch):
+    rng = np.random.default_rng(3)
+    owner, term = np.nonzero(rng.random((600, quality.WORD_TERMS + quality.SHAPE_TERMS)) < 0.05)
+    counts = owner, term, rng.integers(1, 4, len(term)), np.bincount(owner, minlength=600)
+    held, weigh = [], quality.weighted
+    monkeypatch.setattr(quality, "weighted", lambda some, idf: (held.append(len(some[3])), weigh(some, idf))[1])
+    space = quality.LatentSpace(counts, rng.integers(0, 2, 600))
+    assert max(held) <= 256 and space.known.shape == (600, quality.DIMENSIONS)
+    dense = np.zeros((600, quality.WORD_TERMS + quality.SHAPE_TERMS))
+    dense[owner, term] = weigh(counts, space.idf)
+    dense -= dense.mean(axis=0)
+    most = np.linalg.svd(dense, compute_uv=False)[: quality.DIMENSIONS]
+    assert np.linalg.norm(dense @ space.axes) >= 0.99 * np.linalg.norm(most)
+
+
 def test_ngram_components_equal_brute_force(docs, nothing):
     sets = [(i, frozenset(zip(*[words(t)[k:] for k in range(5)], strict=False)) if len(words(t)) >= 5 else frozenset([tuple(words(t))] if words(t) else [])) for i, t, _ in TEXTS]
     root = {i: i for i, _ in sets if i is not None}

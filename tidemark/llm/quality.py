@@ -21,6 +21,8 @@ from tidemark.llm.text import Words
 #: Labelled documents that the classifier is fitted on, at most.
 LABELLED = 8192
 WORD_TERMS, SHAPE_TERMS, DIMENSIONS = 1024, 1024, 64
+#: Documents whose dense vectors are held at once when fitting, and the basis and steps of the search for the axes.
+FITTED_AT_ONCE, BASIS, STEPS = 256, 128, 60
 #: Words weigh this much against shapes.
 WORD_WEIGHT = 0.25
 NEIGHBOURS, SHARPNESS = 25, 4
@@ -86,20 +88,40 @@ def inverse_frequency(owner: np.ndarray, term: np.ndarray) -> np.ndarray:
     return np.log((owner.max(initial=0) + 2) / (df + 1)) + 0.1
 
 
+def leading_axes(square: np.ndarray) -> np.ndarray:
+    """The ``DIMENSIONS`` leading eigenvectors by subspace iteration, which needs a tenth of a full decomposition's memory."""
+    basis = np.linalg.qr(np.random.default_rng(1).standard_normal((len(square), BASIS)).astype(np.float32))[0]
+    for _ in range(STEPS):
+        basis = np.linalg.qr(square @ basis)[0]
+    _, turned = np.linalg.eigh(basis.T @ (square @ basis))
+    return np.ascontiguousarray((basis @ turned)[:, ::-1][:, :DIMENSIONS])
+
+
 class LatentSpace:
     """Term weights and axes from a sample's term counts, and the sample's vectors and labels."""
 
     def __init__(self, counts: Counts, labels: np.ndarray):
-        owner, term, _, n = counts
+        owner, term, count, n = counts
         self.idf = inverse_frequency(owner, term)
-        dense = np.zeros((len(n), WORD_TERMS + SHAPE_TERMS), np.float32)
-        dense[owner, term] = weighted(counts, self.idf)
-        self.mean = dense.mean(axis=0)
-        dense -= self.mean
-        _, axes = np.linalg.eigh(dense.T @ dense)
-        self.axes = np.ascontiguousarray(axes[:, ::-1][:, :DIMENSIONS]).astype(np.float32)
+        starts = range(0, len(n), FITTED_AT_ONCE)
+        cut = np.searchsorted(owner, [*starts, len(n)])
+
+        def dense(k: int) -> np.ndarray:
+            some, first = slice(cut[k], cut[k + 1]), starts[k]
+            words = n[first : first + FITTED_AT_ONCE]
+            out = np.zeros((len(words), WORD_TERMS + SHAPE_TERMS), np.float32)
+            out[owner[some] - first, term[some]] = weighted((owner[some] - first, term[some], count[some], words), self.idf)
+            return out
+
+        blocks = range(len(starts))
+        self.mean = (sum(dense(k).sum(axis=0, dtype=np.float64) for k in blocks) / len(n)).astype(np.float32)
+        square = np.zeros((len(self.mean), len(self.mean)), np.float32)
+        for k in blocks:
+            x = dense(k) - self.mean
+            square += x.T @ x
+        self.axes = leading_axes(square)
         self.labels = labels.astype(np.float32)
-        self.known = self.unit(dense @ self.axes)
+        self.known = self.unit(np.concatenate([(dense(k) - self.mean) @ self.axes for k in blocks]))
 
     @staticmethod
     def unit(x: np.ndarray) -> np.ndarray:
@@ -156,8 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         return None
     rows.sort(key=lambda r: r.doc_id)
     terms = [np.frombuffer(r.term, np.int32) for r in rows]
-    owner = np.repeat(np.arange(len(rows)), [len(t) for t in terms])
-    counts = owner, np.concatenate(terms).astype(np.int64), np.concatenate([np.frombuffer(r.n, np.int32) for r in rows]), np.array([r.words for r in rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) for t in terms])
+    counts = owner, np.concatenate(terms), np.concatenate([np.frombuffer(r.n, np.int32) for r in rows]), np.array([r.words for r in rows])
     return LatentSpace(counts, np.array([r.label for r in rows]))
 
 
