@@ -450,6 +450,22 @@ def test_language_model_splits_one_word_over_parts(spark, monkeypatch):
         assert abs(s.score - r.score) < 0.02 * abs(r.score)
 
 
+def test_language_model_rows_follow_the_text_not_the_partitions(spark, monkeypatch):
+    """Parts, messages and sums are as many for 3 shuffle partitions as for 60; sums come by batch, not by text."""
+    monkeypatch.setattr(language_model, "PACKED_TOKENS", 2000)
+    rng = np.random.default_rng(2)
+    texts = [(i, " ".join(f"v{k}" for k in rng.zipf(1.3, 60) % 5000)) for i in range(400)]
+    table, made, before = spark.createDataFrame(texts, "doc_id long, text string").repartition(4), [], spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("3", "60"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        who, built, common = language_model.deal_out(table, "doc_id", "text")
+        totals, replies = language_model.fit(built, language_model.span_count(built.count()), len(common.words))
+        sums = language_model.text_sums(built, totals, replies, common)
+        made.append((who.count(), built.count(), replies[0].count(), sums.count()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert made[0] == made[1] and made[0][3] <= made[0][0] * made[0][1] < 400
+
+
 def test_language_model_totals_are_those_of_all_parts():
     names = {0: np.array([3, 7, 2**63 + 1], np.uint64), 1: np.array([7, 2**63 + 1, 2**63 + 2], np.uint64)}
     counts = {0: np.array([5, 1, 300]), 1: np.array([2, 0, 70_000])}

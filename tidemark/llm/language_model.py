@@ -7,7 +7,9 @@ and the parent's current probabilities; each table sends one customer to the par
 averaged over the sweeps after the first.
 
 Spark deals all tokens out by word, so a word's customers in every context, its tables and its probability
-are together; a part is one row of a staged table. A frequent word, which would fill a part, is dealt out by
+are together; a part is one row of a staged table. There are as many parts as the texts' bytes ask for. Texts
+are packed in batches, and a part knows a text by its batch and its place there: it sends one row of sums for
+each batch, and the batch's ids meet them at the end. A frequent word, which would fill a part, is dealt out by
 word and context: the parts send the sums of its customers and get its totals back. The texts of a pair of
 word and context that would still fill a part are dealt out apart from its counts. There are as many restaurants as contexts, told apart by
 the hash of the word, and their totals stay in Spark: each sweep every part sends its sums, one for each of
@@ -27,14 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_fold, id_text, parts, slices, stage
+from tidemark.llm.common import crc_fold, id_text, slices, stage
 from tidemark.llm.text import Words, mix
 
 FOLDS, HELD_OUT = 5, 1
 SWEEPS, BURN_IN = 3, 1
 STRENGTH, ROOT_STRENGTH = 1.0, 10.0
-#: Parts for each shuffle partition, so that one fits a worker.
-PARTS = 3
+#: Bytes of text whose tokens make a part, so that one fits a worker, and parts and spans at least, so that all workers
+#: have some.
+PART_BYTES, LEAST_PARTS, LEAST_SPANS = 8 << 20, 16, 32
 #: Tokens that a task packs at once; customers seated one by one before seating goes in leaps.
 PACKED_TOKENS, LEAP = 1_500_000, 16
 _END, _BEGIN = np.uint64(0x5EED0E0D5EED0E0D), np.uint64(0x5EEDBE615EEDBE61)
@@ -110,6 +113,17 @@ class Frequent:
         return np.where(split, ranged(pair_hash(word, context), n_parts), ranged(word, n_parts))
 
 
+def part_count(texts: DataFrame) -> int:
+    """As many parts as the texts are long, whatever the session's partitions are."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(LEAST_PARTS, -(-size // PART_BYTES))
+
+
+def span_count(n_parts: int) -> int:
+    """Spans of contexts. With the root of the parts, messages grow less than parts times parts, and so does a span."""
+    return max(LEAST_SPANS, int(np.ceil(4 * np.sqrt(n_parts))))
+
+
 def frequent(texts: DataFrame, n_parts: int) -> Frequent:
     """Counted with the tokens of some texts at a time: those below a quarter of a part's share there add up to
     a quarter at most, so whatever fills a part keeps three quarters."""
@@ -144,24 +158,27 @@ def frequent(texts: DataFrame, n_parts: int) -> Frequent:
 
 
 def pack_by_word(n_parts: int, frequent: Frequent):
-    """Tokens of many texts as one row for each part, dealt out by ranges of the word hash, or of the pair's for
-    frequent words: for each word its contexts, for each of those the count of training tokens and the texts of
-    all its tokens. Of frequent pairs only the count; their texts come in a row of a part beyond ``n_parts``,
-    with the pair and the number of times for each."""
+    """Tokens of a batch of texts as one row for each part, dealt out by ranges of the word hash, or of the pair's
+    for frequent words: for each word its contexts, for each of those the count of training tokens and the texts of
+    all its tokens, by their places in the batch. Of frequent pairs only the count; their texts come in a row of a
+    part beyond ``n_parts``, with the pair and the number of times for each. A row of a part below zero has the
+    batch's ids, folds and lengths."""
 
-    def flush(held: list, salt: int) -> Iterator[pa.RecordBatch]:
+    def flush(held: list, batch: int, salt: int) -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        base = np.cumsum([0] + [len(k) for *_, k, _ in held])
+        base = np.cumsum([0] + [len(h[4]) for h in held])
         word, context = (np.concatenate([h[i] for h in held]) for i in (0, 1))
         text = np.concatenate([h[2] + np.uint32(b) for h, b in zip(held, base, strict=False)])
-        keys, train = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
-        rows = {name: [] for name in _PACKED}
+        train, n = np.concatenate([h[4] for h in held]), int(base[-1])
+        ids = pa.concat_arrays([h[3] for h in held])
+        unknown = ids.is_null().to_numpy(zero_copy_only=False)
+        who = {"ids": ids.fill_null(0).to_numpy().tobytes(), "unknown": unknown.tobytes(), "train": train.tobytes(), "length": small(np.bincount(text, minlength=n))}
+        rows = [{"part": -1 - salt % n_parts, "batch": batch, "size": n} | who]
 
-        def put(part: int, keys: np.ndarray, words: np.ndarray, entries: np.ndarray, contexts: np.ndarray, *more: np.ndarray) -> None:
-            values = (part, keys.tobytes(), words.tobytes(), small(entries), contexts.tobytes(), *map(small, more))
-            for name, value in zip(_PACKED, values, strict=True):
-                rows[name].append(value)
+        def put(part: int, words: np.ndarray, entries: np.ndarray, contexts: np.ndarray, *more: np.ndarray) -> None:
+            values = (words.tobytes(), small(entries), contexts.tobytes(), *map(small, more))
+            rows.append({"part": part, "batch": batch, "size": n} | dict(zip(_COUNTED, values, strict=True)))
 
         none = np.zeros(0, np.int64)
         pair = frequent.pairs(word, context)
@@ -172,10 +189,9 @@ def pack_by_word(n_parts: int, frequent: Frequent):
             home = frequent.home(frequent.pair_words[mine], frequent.pair_contexts[mine], n_parts)
             for k in np.unique(home).tolist():
                 here = mine[home == k]
-                put(k, none, frequent.pair_words[here], np.ones(len(here), int), frequent.pair_contexts[here], learnt[here], 0 * here, none)
+                put(k, frequent.pair_words[here], np.ones(len(here), int), frequent.pair_contexts[here], learnt[here], 0 * here, none)
             both, times = np.unique(text[some].astype(np.int64) * len(learnt) + pair[some], return_counts=True)
-            used, local = np.unique(both // len(learnt), return_inverse=True)
-            put(n_parts + salt % n_parts, keys[used], none, both % len(learnt), none, none, times, local)
+            put(n_parts + salt % n_parts, none, both % len(learnt), none, none, times, both // len(learnt))
             word, context, text = word[pair < 0], context[pair < 0], text[pair < 0]
         at = frequent.home(word, context, n_parts)
         order = np.lexsort((context, word, at))
@@ -188,31 +204,34 @@ def pack_by_word(n_parts: int, frequent: Frequent):
         edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else none
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             first = np.flatnonzero(new_word[a:b])
-            used, local = np.unique(text[starts[a] : ends[b - 1]], return_inverse=True)
-            put(int(part[a]), keys[used], word[starts[a:b]][first], np.diff(np.append(first, b - a)), context[starts[a:b]], customers[a:b], ends[a:b] - starts[a:b], local)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if c == "part" else pa.binary()) for c, x in rows.items()], list(rows))
+            put(int(part[a]), word[starts[a:b]][first], np.diff(np.append(first, b - a)), context[starts[a:b]], customers[a:b], ends[a:b] - starts[a:b], text[starts[a] : ends[b - 1]])
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([(c, _TYPES.get(c, pa.binary())) for c in _PACKED]))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, salt = [], 0, TaskContext.get().partitionId()
+        held, n, salt = [], 0, (task := TaskContext.get().partitionId())
         for batch in slices(batches, "text"):
             got = tokens(batch.column("text"))
-            held.append((*got, batch.column("key").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False)))
+            held.append((*got, batch.column("doc_id"), batch.column("train").to_numpy(zero_copy_only=False)))
             n += len(got[0])
             if n >= PACKED_TOKENS:
-                yield from flush(held, salt)
+                yield from flush(held, task << 32 | salt - task, salt)
                 held, n, salt = [], 0, salt + 1
-        yield from flush(held, salt)
+        yield from flush(held, task << 32 | salt - task, salt)
 
     return pack
 
 
-_PACKED = ("part", "keys", "words", "entries", "contexts", "customers", "tokens", "texts")
-_PART = ("part", "entries", "names", "contexts", "customers", "split", "pair_at", "pairs", "tokens", "texts", "keys")
+_COUNTED = ("words", "entries", "contexts", "customers", "tokens", "texts")
+_WHO = ("ids", "unknown", "train", "length")
+_PACKED = ("part", "batch", "size", *_COUNTED, *_WHO)
+_BUILT = ("part", "entries", "names", "contexts", "customers", "split", "pair_at", "pairs", "tokens", "texts", "batches", "batch_sizes")
+_PART = (*_BUILT, "batch", "size", *_WHO)
+_TYPES = {"part": pa.int32(), "batch": pa.int64(), "size": pa.int32()}
 _MESSAGE = "span int, part int, n int, x binary, number long"
 
 
 def schema(names: tuple[str, ...]) -> str:
-    return ", ".join(f"{c} {'int' if c == 'part' else 'binary'}" for c in names)
+    return ", ".join(f"{c} {'long' if c == 'batch' else 'int' if c in _TYPES else 'binary'}" for c in names)
 
 
 def runs(word: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,12 +243,21 @@ def runs(word: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def part_builder(n_parts: int, frequent: Frequent):
     """A part's words, sorted: for each its contexts, for each of those the training count and the texts of
-    its tokens. Contexts are numbered within the part, in the order of their hashes. ``split`` is a frequent word's place, from 1 on; ``pair_at`` and ``pairs`` are the entries and
-    places of frequent pairs. A part beyond ``n_parts`` has those pairs' texts."""
+    its tokens, numbered through its ``batches`` of ``batch_sizes`` texts. Contexts are numbered within the part, in the order
+    of their hashes. ``split`` is a frequent word's place, from 1 on; ``pair_at`` and ``pairs`` are the entries and
+    places of frequent pairs. A part beyond ``n_parts`` has those pairs' texts. Batches' ids stay as they are."""
+
+    def one(rows: pa.Table, made: dict) -> pa.Table:
+        return pa.table({"part": rows.column("part").slice(0, 1)} | {c: pa.array([made.get(c)], _TYPES.get(c, pa.binary())) for c in _PART[1:]})
 
     def build_part(rows: pa.Table) -> pa.Table:
-        word, context, customers, times, text, keys, pairs, base = [], [], [], [], [], [], [], 0
+        if rows.column("part")[0].as_py() < 0:
+            none = pa.nulls(rows.num_rows, pa.binary())
+            return pa.table({c: rows.column(c) if c in _PACKED and c not in _COUNTED else none for c in _PART})
+        word, context, customers, times, text, pairs, base = [], [], [], [], [], [], 0
         spread = rows.column("part")[0].as_py() >= n_parts
+        rows = rows.sort_by("batch")
+        first_text = {}
         for row in rows.to_pylist():
             entries = large(row["entries"])
             pairs.append(entries)
@@ -237,13 +265,14 @@ def part_builder(n_parts: int, frequent: Frequent):
             context.append(np.frombuffer(row["contexts"], np.uint64))
             customers.append(large(row["customers"]))
             times.append(large(row["tokens"]))
-            text.append((large(row["texts"]) + base).astype(np.uint32))
-            keys.append(np.frombuffer(row["keys"], np.int64))
-            base += len(keys[-1])
+            if row["batch"] not in first_text:
+                first_text[row["batch"]] = base
+                base += row["size"]
+            text.append((large(row["texts"]) + first_text[row["batch"]]).astype(np.uint32))
         word, context, customers, times, text = map(np.concatenate, (word, context, customers, times, text))
+        of_batches = {"batches": np.array(list(first_text), np.int64).tobytes(), "batch_sizes": small(np.diff([*first_text.values(), base]))}
         if spread:
-            made = {"pairs": small(np.concatenate(pairs)), "tokens": small(times), "texts": small(text), "keys": np.concatenate(keys).tobytes()}
-            return pa.table({"part": rows.column("part").slice(0, 1)} | {c: pa.array([made.get(c)], pa.binary()) for c in _PART[1:]})
+            return one(rows, {"pairs": small(np.concatenate(pairs)), "tokens": small(times), "texts": small(text)} | of_batches)
         order = np.lexsort((context, word))
         first = (np.cumsum(times) - times)[order]
         word, context, customers, times = word[order], context[order], customers[order], times[order]
@@ -261,9 +290,8 @@ def part_builder(n_parts: int, frequent: Frequent):
             "pairs": small(pair[pair >= 0]),
             "tokens": small(np.add.reduceat(times, starts)),
             "texts": small(text),
-            "keys": np.concatenate(keys).tobytes(),
         }
-        return pa.table({"part": rows.column("part").slice(0, 1)} | {c: pa.array([made[c]], pa.binary()) for c in _PART[1:]})
+        return one(rows, made | of_batches)
 
     return build_part
 
@@ -523,54 +551,88 @@ def pair_probabilities(built: DataFrame, totals: Totals, replies: list[DataFrame
 
 
 def deal_out(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Frequent]:
-    """The texts with key and fold, the staged parts of all their tokens, and the words that are split."""
+    """The batches' ids with folds and lengths, the staged parts of all tokens, and the words that are split."""
     fold = crc_fold(F.col(f"`{id_col}`"), FOLDS) != HELD_OUT
-    texts = id_text(docs, id_col, text_col, fold.alias("train")).withColumn("key", F.xxhash64("doc_id", "text"))
-    n_parts = PARTS * parts(docs)
+    texts = id_text(docs, id_col, text_col, fold.alias("train"))
+    n_parts = part_count(texts)
     common = frequent(texts, n_parts)
-    packed = texts.select("key", "train", "text").mapInArrow(pack_by_word(n_parts, common), schema(_PACKED))
-    return texts, stage(packed.groupBy("part").applyInArrow(part_builder(n_parts, common), schema(_PART)), "word-parts"), common
+    packed = texts.mapInArrow(pack_by_word(n_parts, common), schema(_PACKED))
+    staged = stage(packed.groupBy("part").applyInArrow(part_builder(n_parts, common), schema(_PART)), "word-parts")
+    return staged.where("part < 0").select("batch", "size", *_WHO), staged.where("part >= 0").select(*_BUILT), common
 
 
-def score_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
-
-    The model learns from documents whose crc32 of the id's text modulo 5 is not 1. A null or empty text is
-    one end token; a null id counts as the empty text. Repeated rows each count as training text and each
-    get their score. An empty table gives an empty result. Other columns are not read.
-    """
-    texts, built, common = deal_out(docs, id_col, text_col)
-    totals, replies = fit(built, parts(docs), len(common.words))
+def text_sums(built: DataFrame, totals: Totals, replies: list[DataFrame], common: Frequent) -> DataFrame:
+    """``batch, part, texts, n_known, base_score, score``: a row for each part and batch, with the sums of the part's
+    tokens in each of the batch's ``texts``, as packed arrays."""
     pair_p = pair_probabilities(built, totals, replies, len(common.pair_words))
     pair_count = totals.split_counts[found(common.pair_words, common.words)] if len(common.words) else np.zeros(0, np.int64)
 
-    def per_text(row: dict, count: np.ndarray, p: np.ndarray) -> pa.Table:
-        """One row per text, of the counts of the words and the probabilities of the ``tokens`` each stands for."""
-        text, keys = large(row["texts"]), np.frombuffer(row["keys"], np.int64)
-        keys, where = np.unique(keys, return_inverse=True)
-        text, times = where[text], large(row["tokens"])
+    def per_batch(row: dict, count: np.ndarray, p: np.ndarray) -> pa.Table:
+        """Of the counts of the words and the probabilities of the ``tokens`` each stands for."""
+        used, text = np.unique(large(row["texts"]), return_inverse=True)
+        times = large(row["tokens"])
         if row["entries"] is None:  # a text and its times, else a text for each of them
-            add = lambda x: np.bincount(text, x * times, minlength=len(keys))
+            add = lambda x: np.bincount(text, x * times, minlength=len(used))
         else:
-            add = lambda x: np.bincount(text, np.repeat(x, times), minlength=len(keys))
+            add = lambda x: np.bincount(text, np.repeat(x, times), minlength=len(used))
         base = add(np.log10((count + 0.5) / (totals.tokens + 0.5 * (totals.words + 1))))
-        whole = [add(x).astype(np.int64) for x in (np.ones(len(count)), count > 0)]
-        return pa.table([pa.array(x) for x in (keys, *whole, base, add(np.log10(p)))], ["key", "n_tokens", "n_known", "base_score", "score"])
+        known, score = add(count > 0).astype(np.int64), add(np.log10(p))
+        batches, sizes = np.frombuffer(row["batches"], np.int64).tolist(), large(row["batch_sizes"])
+        firsts = np.cumsum(sizes) - sizes
+        cuts = np.searchsorted(used, [*firsts.tolist(), int(sizes.sum())])
+        rows = [
+            (batch, row["part"], small(used[a:b] - first), small(known[a:b]), base[a:b].tobytes(), score[a:b].tobytes())
+            for batch, first, a, b in zip(batches, firsts, cuts[:-1], cuts[1:], strict=True)
+            if b > a
+        ]
+        types = (pa.int64(), pa.int32(), *4 * [pa.binary()])
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [()] * len(types), types, strict=True)], list(_SUMS))
 
     def scored(rows: pa.Table) -> pa.Table:
         if rows.num_rows == 1 and not rows.column("entries")[0].is_valid:
             row = rows.to_pylist()[0]
             pair = large(row["pairs"])
-            return per_text(row, pair_count[pair], pair_p[pair])
+            return per_batch(row, pair_count[pair], pair_p[pair])
         part, row, own = opened(rows, totals)
         count, some = part.count, part.split >= 0
         count[some] = totals.split_counts[part.split[some]]
-        return per_text(row, count[part.word], part.probabilities(own))
-
-    rows = with_replies(built.drop("names"), replies).groupBy("part").applyInArrow(scored, "key long, n_tokens long, n_known long, base_score double, score double")
-    sums = rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
-    who = texts.select("key", "doc_id", (~F.col("train")).alias("held_out"))
-    alike = who.groupBy("key").agg(F.count("*").alias("alike"))  # rows of one id and text
-    each = lambda c: (F.col(c) / F.col("alike")).cast("long" if c.startswith("n_") else "double").alias(c)
-    sums = sums.join(alike, "key").select("key", *[each(c) for c in ("n_tokens", "n_known", "base_score", "score")])
-    return who.join(sums, "key").select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+        return per_batch(row, count[part.word], part.probabilities(own))
+
+    kinds = "batch long, part int, texts binary, n_known binary, base_score binary, score binary"
+    return with_replies(built.drop("names"), replies).groupBy("part").applyInArrow(scored, kinds)
+
+
+_SUMS = ("batch", "part", "texts", "n_known", "base_score", "score")
+
+
+def score_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
+
+    The model learns from documents whose crc32 of the id's text modulo 5 is not 1. A null or empty text is
+    one end token; a null id counts as the empty text. Repeated rows each count as training text and each
+    get their score. An empty table gives an empty result. Other columns are not read.
+    """
+    who, built, common = deal_out(docs, id_col, text_col)
+    totals, replies = fit(built, span_count(built.count()), len(common.words))
+
+    def finish(rows: pa.Table) -> pa.Table:
+        """The texts of one batch, with the sums of all parts in their order."""
+        *sums, batch = sorted(rows.to_pylist(), key=lambda r: (r["part"] is None, r["part"]))
+        n = batch["size"]
+        text = np.concatenate([large(r["texts"]) for r in sums])
+        add = lambda name, read: np.bincount(text, np.concatenate([read(r[name]) for r in sums]), minlength=n)
+        train = np.frombuffer(batch["train"], bool)
+        out = {
+            "doc_id": pa.array(np.frombuffer(batch["ids"], np.int64), mask=np.frombuffer(batch["unknown"], bool)),
+            "held_out": pa.array(~train),
+            "n_tokens": pa.array(large(batch["length"])),
+            "n_known": pa.array(add("n_known", large).astype(np.int64)),
+            "train_tokens": pa.array(np.full(n, totals.tokens, np.int64)),
+            "base_score": pa.array(add("base_score", np.frombuffer)),
+            "score": pa.array(add("score", np.frombuffer)),
+        }
+        return pa.table(out)
+
+    rows = who.unionByName(text_sums(built, totals, replies, common), allowMissingColumns=True)
+    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return rows.groupBy("batch").applyInArrow(finish, kinds)
