@@ -268,6 +268,31 @@ def test_ids_of_random_text_equal_the_library(name, keeps_space):
     assert encoder.ids([]) == [] and encoder.ids(["", ""]) == [b"", b""]
 
 
+def test_new_words_cost_the_library_no_marks(monkeypatch):
+    """Words in capitals, at line ends or before a sign are known; new ones are encoded without marks between them."""
+    path = public_tokenizers.path(tokens.WORD_BPE)
+    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path, False)
+    made, encode = [], encoder.encode
+    monkeypatch.setattr(encoder, "encode", lambda text: made.append(encode(text)) or made[-1])
+    words = [f"q{chr(97 + k % 26)}{chr(97 + k // 26)}zu" for k in range(600)]
+    texts = [" ".join(words), "\n".join(w.title() for w in words), " ".join(w + "," for w in words), " ".join(w + "?" for w in words)]
+    got = encoder.ids(texts)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, np.uint32).tolist() for x in got] == want
+    assert sum(map(len, made)) <= len(want[0]) + 40
+
+
+def test_cuts_within_words_leave_ids_alone():
+    path = public_tokenizers.path(tokens.WORD_BPE)
+    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path, False)
+    rng = np.random.default_rng(4)
+    bits = ["a", "B", "re", "Ve", "s", "S", "'", "'s", "\u2019", "7", "42", ".", ",", "<", "|", ">", "<|", "|>", "<|endoftext|>", "<|EndOfText|>", "</w>", "\0", "\t", "\r", "\x1c", " ", "  ", "\n", "\u00a0",
+            "\u0301", "\u0338", "=", "\u00e9", "\u0130", "\u03a3", "\u212a", "\u4e2d", "\u0664", "\U0001f600", "_", "-"]
+    texts = ["".join(rng.choice(bits, n)) for n in rng.integers(0, 40, 3000)]
+    for a in (texts[:1], texts[1:2], texts, [t.replace("<|", "") for t in texts]):
+        assert [np.frombuffer(x, np.uint32).tolist() for x in encoder.ids(a)] == [plain.encode(t, add_special_tokens=False).ids for t in a]
+
+
 def document_ids(name):
     plain = Tokenizer.from_file(public_tokenizers.path(name))
     return [(i, np.array([*plain.encode(t or "", add_special_tokens=False).ids, 1], np.uint32)) for i, t, _ in TEXTS]

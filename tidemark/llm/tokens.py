@@ -4,6 +4,10 @@ Both vocabularies cut a text into pieces that never reach across a single space
 characters that are not white space, so a text may be cut before each of them and its stretches encoded alone.
 Arrow counts a batch's distinct stretches; only those are looked up or given to the library, many in one
 call, and numpy gathers their ids by stretch.
+
+The word vocabulary takes a piece for itself wherever a letter of ASCII meets another sign of it, knows neither
+line ends from spaces nor capitals, and marks the last id of each piece. So its stretches are folded and end before
+such signs, most of them are known, and the ids of new ones are told apart by their number of pieces.
 """
 
 from __future__ import annotations
@@ -22,6 +26,20 @@ _SPACE = re.compile(r"\s")
 _MARK = "\0"
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[*range(9, 14), *range(28, 33)]] = True
+#: What a byte is in the pieces of the word vocabulary.
+_SPACES, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[[10, 32]] = _SPACES
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[[39, 60]] = _ODD  # ' stands with letters in one piece, < may begin a special token
+#: Signs that end a stretch after a letter; within a special token | is one.
+_ENDS_LETTERS = (_KIND == _SIGN) | (_KIND == _DIGIT)
+_ENDS_LETTERS[60], _ENDS_LETTERS[124] = True, False
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_FOLD[10] = 32
 
 
 def white_space(data: np.ndarray) -> np.ndarray:
@@ -57,6 +75,11 @@ class Encoder:
         (self.cut_id,) = self.encode(self.between)
         self.line_end = self.encode("\n").tobytes()
         self.memo: dict[bytes, bytes] = {}
+        suffix = None if keeps_space else self.tokenizer.model.end_of_word_suffix
+        self.last_of_piece = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.last_of_piece[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.by_pieces = bool(suffix) and np.array_equal(self.encode("Ab\nc."), self.encode("ab c ."))
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -64,9 +87,11 @@ class Encoder:
     def stretches(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Borders of stretches in the joined texts: those of the texts, and before each space or line end that is safe.
 
-        A vocabulary that drops white space can be cut at every one.
+        A vocabulary that drops white space can be cut at every one, one of pieces between a letter and a sign as well.
         """
         cut = np.append((data == 32) | (data == 10), False)
+        if self.by_pieces:
+            cut[1:-1] |= (_KIND == _LETTER)[data[:-1]] & _ENDS_LETTERS[data[1:]]
         if self.keeps_space and len(data):
             space = white_space(data)
             cut[1:-1] &= ~space[:-1]
@@ -74,8 +99,39 @@ class Encoder:
         cut[offsets] = True
         return np.flatnonzero(cut)
 
+    def learn_pieces(self, stretches: list[bytes]) -> list[bytes]:
+        """Encode new stretches of plain ASCII, many in one call, and cut their ids by their pieces; the others are left."""
+        left, at_once = [], 2000
+        for i in range(0, len(stretches), at_once):
+            some = stretches[i : i + at_once]
+            joined = b" ".join(some)
+            kind = _KIND[np.frombuffer(joined + b" ", np.uint8)]
+            sizes = np.fromiter(map(len, some), np.int64, len(some)) + 1
+            starts = np.cumsum(sizes) - sizes
+            odd = np.add.reduceat(kind == _ODD, starts, dtype=np.int64) > 0
+            if odd.any():
+                left += [s for s, x in zip(some, odd.tolist(), strict=True) if x]
+                some = [s for s, x in zip(some, odd.tolist(), strict=True) if not x]
+                joined, kind = b" ".join(some), kind[np.repeat(~odd, sizes)]
+                sizes = sizes[~odd]
+                starts = np.cumsum(sizes) - sizes
+            if not some:
+                continue
+            new = (kind != _SPACES) & (np.append(True, kind[1:] != kind[:-1]) | (kind == _DIGIT))
+            last = np.cumsum(np.add.reduceat(new, starts, dtype=np.int64))
+            ids = self.encode(joined.decode())
+            ends = np.append(0, np.flatnonzero(self.last_of_piece[ids]) + 1)
+            if len(ends) != last[-1] + 1 or ends[-1] != len(ids):
+                left += some
+                continue
+            raw, cuts = ids.tobytes(), (4 * ends[np.append(0, last)]).tolist()
+            self.memo.update((s, raw[a:b]) for s, a, b in zip(some, cuts[:-1], cuts[1:], strict=True))
+        return left
+
     def learn(self, stretches: list[bytes]) -> None:
         """Encode new stretches, many in one call with a mark between them; odd ones alone."""
+        if self.by_pieces:
+            stretches = self.learn_pieces(stretches)
         joined, bodies = [], []
         for s in stretches:
             text = s.decode()
@@ -103,6 +159,8 @@ class Encoder:
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, np.int64)
         raw = texts.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])) if offsets[-1] > offsets[0] else pa.py_buffer(b"")
         offsets = offsets - offsets[0]
+        if self.by_pieces and b"<|" not in raw.to_pybytes():  # folding could make a special token
+            raw = pa.py_buffer(_FOLD[np.frombuffer(raw, np.uint8)])
         bounds = self.stretches(np.frombuffer(raw, np.uint8), offsets)
         found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), raw]).dictionary_encode()
         if len(self.memo) > self.memo_words:
