@@ -410,6 +410,26 @@ def test_forest_finds_neighbours(vectors):
     assert forest.nearest(table.where("1 = 0"), "vec_id", "embedding").count() == 0
 
 
+def test_ngram_join_deals_prefixes_out_once(spark, monkeypatch):
+    """Shingles of several nodes come of one shuffle, whatever batches their rows fall into."""
+    rng = np.random.default_rng(8)
+    sets = [(int(rng.integers(60)), [int(t) for t in rng.choice(4000, 12, replace=False) if t % 40 or t < 400]) for _ in range(300)]
+    sets += [(k, [5000]) for k in range(50)] + [(7, [6000])] * 30
+    usable, plans, write = spark.createDataFrame(sets, "node long, prefix array<long>").repartition(5), [], ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label))
+    nodes = {}
+    for node, prefix in sets:
+        for token in prefix:
+            nodes.setdefault(token, set()).add(node)
+    want = sorted((t, n) for t, held in nodes.items() if len(held) > 1 for n in held)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("1", "7", before):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        assert sorted(map(tuple, ngram_join.met_tokens(usable).collect())) == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(plans) == 3 and all(p.count("Exchange hashpartitioning(token") == 1 for p in plans)
+
+
 def test_language_model_counts_and_improves(spark, docs, nothing):
     got = language_model.score_texts(docs, "doc_id", "text").collect()
     fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5

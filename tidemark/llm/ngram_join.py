@@ -189,13 +189,30 @@ def shared_needed(n: str, l: str, m: str, k: str) -> Column:  # noqa: E741
 def met_tokens(usable: DataFrame) -> DataFrame:
     """``token, node`` of prefix shingles that several nodes hold, each once.
 
-    Nearly all shingles have one node. So each shingle's smallest and largest node are found first, which
-    combines before its shuffle, and a bit table keeps most other shingles out of the second one.
+    Nearly all shingles have one node. So they are dealt out and sorted once, and a row stays if the row of another
+    node before or after it has the same shingle; no shingle's rows are held together.
     """
     tokens = usable.select(F.explode("prefix").alias("token"), "node")
-    several = stage(tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token"), "several")
-    held = only_these(tokens, several, "token").distinct()
-    return stage(held.join(several, "token", "left_semi"), "held")
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = lambda token, node: pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), pa.array(node, pa.int64())], ["token", "node"])
+        last_token = last_node = np.zeros(0, np.int64)
+        stays = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, node = np.append(last_token, batch.column("token").to_numpy()), np.append(last_node, batch.column("node").to_numpy())
+            new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))
+            token, node = token[new], node[new]
+            same = token[1:] == token[:-1]
+            kept = np.append(stays, same) | np.append(same, False)
+            yield rows(token[:-1][kept[:-1]], node[:-1][kept[:-1]])
+            last_token, last_node, stays = token[-1:], node[-1:], bool(kept[-1])
+        if stays:
+            yield rows(last_token, last_node)
+
+    dealt = tokens.repartition(parts(usable), "token").sortWithinPartitions("token", "node")
+    return stage(dealt.mapInArrow(met, "token long, node long"), "held")
 
 
 def same_nodes(held: DataFrame) -> DataFrame:
@@ -411,8 +428,7 @@ def join_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     first = stage(first.select("node", "first.*", "n", "l", "bits", (F.col("kept") / prefix).alias("central")).withColumn("text_id", text_id), "nodes")
     # from here a node goes by its text's id, so that texts need no shuffle to find their node
     postings = several.join(first.select("node", "text_id", "n", "l", "bits", "central"), "node").drop("node").withColumnRenamed("text_id", "node")
-    node_texts = stage(only_these(texts.select(text_id.alias("node"), "text"), first.select(F.col("text_id").alias("node")), "node"), "texts")
-    roots = link_components(postings, node_texts)
+    roots = link_components(postings, texts.select(text_id.alias("node"), "text"))  # read again when compared, not written
     if roots is not None:
         named = first.select("node", "text_id")
         roots = roots.join(named.withColumnRenamed("text_id", "at"), F.col("at") == roots["node"]).select(named["node"], "root")
