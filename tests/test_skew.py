@@ -129,6 +129,26 @@ def test_hierarchy_equals_brute_force(spark, rows, sizes):
     assert quality.row_distinct(joins.hierarchy(df, "g", "v", depth), ["v", *[f"v{i}" for i in range(2, depth + 1)]]).count() == 0
 
 
+def test_filters_on_levels_stay_above_their_decoding(spark, rows):
+    values = [(g, f"v{i}") for g, k in (("a", 1), ("v2", 3), ("v0", 5), ("v9", 4)) for i in range(k)] + [("v1", None), (None, "v0")]
+    names = ["v", *[f"v{i}" for i in range(2, 8)]]
+    ordered = joins.hierarchy(spark.createDataFrame(values, "g string, v string").repartition(3), "g", "v")
+    failing = quality.row_distinct(ordered, ["g", *names])
+    plan = failing._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" div ") <= len(names) and "lambda" not in plan
+    assert rows(failing) == sorted(((g, *p) for g, k in (("v2", 3), ("v0", 5)) for p in orderings([f"v{i}" for i in range(k)], 7)), key=repr)
+    assert quality.row_distinct(ordered, names).count() == 0
+
+
+def test_row_distinct_passes_missing_values(spark, rows):
+    data = [("a", "b", "c"), ("a", None, "a"), (None, None, "a"), (None, None, None), ("b", "b", "b"), ("c", "a", "a"), ("c", "", "")]
+    failing = quality.row_distinct(spark.createDataFrame(data, "x string, y string, z string"), ["x", "y", "z"])
+    assert rows(failing) == sorted([data[1], data[4], data[5], data[6]], key=repr)
+    numbers = spark.createDataFrame([(1, 1.0), (1, 2.0), (None, float("nan")), (None, None)], "x int, y double").withColumn("z", F.col("y"))
+    assert rows(quality.row_distinct(numbers, ["x", "y"])) == [(1, 1.0, 1.0)]
+    assert quality.row_distinct(numbers, ["z", "x", "y"]).count() == 3
+
+
 def test_hierarchy_with_missing_values(spark, rows):
     df = spark.createDataFrame([("g", None), ("g", "x"), (None, "y"), (None, "z")], "g string, v string")
     assert rows(joins.hierarchy(df, "g", "v", 2)) == sorted([("g", None, None), ("g", "x", None), (None, "y", None), (None, "z", None)], key=repr)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +47,13 @@ def last_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], column
 
 
 def has_repeats(columns: Sequence[str | Column]) -> Column:
-    """True when a row holds one non-null value in more than one of the columns."""
-    filled = F.array_compact(F.array(*columns))
-    return F.size(filled) != F.size(F.array_distinct(filled))
+    """True when a row holds one non-null value in more than one of the columns.
+
+    Of NULLs the distinct values keep one. No lambda is used, which Spark would interpret for every row with all that the columns mention.
+    """
+    values = F.array(*columns)
+    filled = reduce(add, [F.get(values, F.lit(i)).isNotNull().cast("int") for i in range(len(columns))], F.lit(0))
+    return F.size(F.array_distinct(values)) != filled + (filled < len(columns)).cast("int")
 
 
 # The ways loads turn many statuses into one decision; see ``decision``.

@@ -47,6 +47,9 @@ def unranked_orderings(rows: DataFrame, values: str, names: Sequence[str], keep:
     The rank's factorial digits say which of the values not yet used comes next. From the last level to the first
     each digit is raised past the places before it, which turns it into a place in the array. Places beyond the
     array's end, and those of a NULL rank, are NULL.
+
+    The names are a generator's columns, below which Spark moves no filter on them. Moved down, it would hold a copy of all
+    arithmetic for every mention of a name, and as places mention places, twice as much for each level.
     """
     places, sizes = [f"_p{i}" for i in range(len(names))], [f"_s{i}" for i in range(len(names))]
     counted = rows.withColumns({s: F.greatest(F.size(values) - i, F.lit(1)).cast("bigint") for i, s in enumerate(sizes)})
@@ -54,7 +57,8 @@ def unranked_orderings(rows: DataFrame, values: str, names: Sequence[str], keep:
     for level in range(len(names) - 2, -1, -1):
         raised = [(F.col(p) + (F.col(p) >= F.col(places[level])).cast("int")).alias(p) for p in places[level + 1 :]]
         out = out.select(*keep, values, *places[: level + 1], *raised)
-    return out.select(*keep, *[F.get(values, F.col(p)).alias(n) for p, n in zip(places, names, strict=True)])
+    ordering = F.struct(*[F.get(values, F.col(p)).alias(n) for p, n in zip(places, names, strict=True)])
+    return out.select(*keep, F.inline(F.array(ordering)))
 
 
 def hierarchy(df: DataFrame, group: str, value: str, depth: int = 7, carry: Sequence[str] = ()) -> DataFrame:
